@@ -11,6 +11,11 @@ EMBED_SEPARATOR = "|"
 CAST_EMBED = '{ "castId": { "fid": "%s", "hash": "%s" } }'
 URL_EMBED = '{ "url": "%s" }'
 
+# The same templates as patterns, and the place between two embeds.
+CAST_PATTERN = r'^\{ "castId": \{ "fid": "(\d+)", "hash": "(\w*)" \} \}$'
+URL_PATTERN = r'(?s)^\{ "url": "(.*)" \}$'
+EMBED_BREAK = r'(?<= \})\|(?=\{ "(?:url|castId)": )'
+
 
 def or_blank(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
@@ -93,16 +98,18 @@ def parse_mentions(text: Column) -> Column:
 def parse_embeds(text: Column) -> Column:
     """Embed text back to an array of ``{url, castId{fid, hash}}``.
 
-    A separator is recognised only between two embeds, so a ``|`` inside a URL
-    stays where it is.
+    The text is not escaped, so it is cut at its templates and not read as
+    JSON: quotes, backslashes and separators inside a URL stay as they are.
     """
-    parts = F.split(text, r'\|(?=\{ "(?:url|castId)": )')
-    shape = "url string, castId struct<fid: bigint, hash: string>"
-    return F.when(
-        F.length(text) > 0,
-        F.transform(parts, lambda part: F.from_json(part, shape, {"mode": "PERMISSIVE"})),
-    ).otherwise(F.array().cast(f"array<struct<{_ddl_fields()}>>"))
-
+    parts = F.split(text, EMBED_BREAK)
+
+    def embed(part: Column) -> Column:
+        fid = or_null(F.regexp_extract(part, CAST_PATTERN, 1)).cast("bigint")
+        cast_id = F.struct(fid.alias("fid"), F.regexp_extract(part, CAST_PATTERN, 2).alias("hash"))
+        return F.struct(
+            or_null(F.regexp_extract(part, URL_PATTERN, 1)).alias("url"),
+            F.when(fid.isNotNull(), cast_id).alias("castId"),
+        )
 
-def _ddl_fields() -> str:
-    return "url: string, castId: struct<fid: bigint, hash: string>"
+    empty = F.array().cast("array<struct<url: string, castId: struct<fid: bigint, hash: string>>>")
+    return F.when(F.length(text) > 0, F.transform(parts, embed)).otherwise(empty)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from socialog.functions.clock import DAY
 from socialog.operators.ordering import group_index, row_index, running_sums
@@ -138,8 +143,6 @@ def percentile_disc(df: DataFrame, column: str, q: float, accuracy: int = 10_000
     ``percentile_approx`` brackets the value; only rows inside the bracket are
     numbered. Should the bracket ever miss, all rows are.
     """
-    import math
-
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     slack = 2.0 / accuracy
     ends = [max(q - slack, 0.0), min(q + slack, 1.0)]
@@ -174,16 +177,42 @@ def latency_statistics(calls: DataFrame) -> DataFrame:
     )
 
 
+def _window_p99(values: np.ndarray, window: int, block: int = 4096) -> np.ndarray:
+    """The ceil(0.99 n)-th smallest of the last n <= ``window`` values at each place.
+
+    Counted from the top it is one of the largest few of the window, so a
+    partial sort of each window is enough.
+    """
+    held = np.minimum(np.arange(1, len(values) + 1), window)
+    from_top = held - np.ceil(held * 0.99).astype(int)
+    keep = int(from_top.max()) + 1
+    padded = np.concatenate([np.full(window - 1, -np.inf), values])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, window)
+    found = np.empty(len(values))
+    for start in range(0, len(values), block):
+        part = windows[start : start + block]
+        largest = np.sort(np.partition(part, window - keep, axis=1)[:, -keep:], axis=1)
+        rank = from_top[start : start + block]
+        found[start : start + block] = largest[np.arange(len(part)), keep - 1 - rank]
+    return found
+
+
 def rolling_p99(
-    calls: DataFrame, group: str, order: list[str], value: str, window: int = 1000,
+    calls: DataFrame,
+    group: str,
+    order: list[str],
+    value: str,
+    window: int = 1000,
     chunk: int = 20_000,
 ) -> DataFrame:
     """P99 of the last ``window`` values at each row, per group.
 
     Each group is cut into chunks of ``chunk`` rows; the last ``window - 1`` rows
     of a chunk are repeated at the head of the next, so a hot group runs as many
-    tasks and every row still sees its whole window.
+    tasks and every row still sees its whole window. A window function would
+    rebuild and sort ``window`` values for each row; numpy selects them in place.
     """
+    chunk = max(chunk, window)
     numbered = group_index(calls, [group], *order, name="_n")
     here = F.floor(F.col("_n") / chunk)
     into_next = F.col("_n") % chunk > chunk - window
@@ -191,18 +220,15 @@ def rolling_p99(
         "_chunk",
         F.explode(F.when(into_next, F.array(here, here + 1)).otherwise(F.array(here))),
     )
-    last = (
-        Window.partitionBy(group, "_chunk").orderBy("_n").rowsBetween(-(window - 1), Window.currentRow)
-    )
-    seen = F.collect_list(value).over(last)
-    return (
-        spread.withColumn("_seen", F.array_sort(seen))
-        .filter(F.floor(F.col("_n") / chunk) == F.col("_chunk"))
-        .withColumn(
-            "p99", F.element_at("_seen", F.ceil(F.size("_seen") * F.lit(0.99)).cast("int"))
-        )
-        .drop("_seen", "_n", "_chunk")
-    )
+    schema = T.StructType([*calls.schema.fields, T.StructField("p99", T.DoubleType())])
+
+    def one_chunk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_n", ignore_index=True)
+        rows["p99"] = _window_p99(rows[value].to_numpy(dtype=float), window)
+        own = rows["_n"] // chunk == rows["_chunk"]
+        return rows.loc[own, schema.names]
+
+    return spread.groupBy(group, "_chunk").applyInPandas(one_chunk, schema)
 
 
 def recent_throughput(calls: DataFrame, group: str, at: str = "called_at", span: int = 60) -> DataFrame:

@@ -59,24 +59,24 @@ def group_index(
     """0-based number of each row within its group.
 
     A group may span many tasks: rows are counted per (group, task) and only
-    these counts are summed per group.
+    these counts are summed per group. A NULL key is a group like any other.
     """
-    placed = _placed(df, [*group, *order])
-    pieces = placed.groupBy(*group, "_task").agg(
+    placed = _placed(df, [*group, *order]).withColumn("_group", F.struct(*group))
+    pieces = placed.groupBy("_group", "_task").agg(
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     before = (
-        Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_group").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = pieces.select(
-        *group,
+        "_group",
         "_task",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     return (
-        placed.join(carried, [*group, "_task"])
+        placed.join(carried, ["_group", "_task"])
         .withColumn(name, F.col("_at") + F.col("_shift"))
-        .drop("_task", "_at", "_shift")
+        .drop("_group", "_task", "_at", "_shift")
     )
 
 

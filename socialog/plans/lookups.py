@@ -14,8 +14,8 @@ from socialog.sources import tables
 FID = 3
 ROOT_HASH = "0x" + md5(b"c:0:0").hexdigest()  # first cast of conversation 0, by user 0
 ROOT_REF = f"0:{ROOT_HASH}"
-REACTED_HASH = "0x" + md5(b"c:4:0").hexdigest()  # cast of user 4
-REACTED_REF = f"4:{REACTED_HASH}"
+REACTED_HASH = "0x" + md5(b"c:16:0").hexdigest()  # cast of user 1
+REACTED_REF = f"1:{REACTED_HASH}"
 URL = "https://example.com/27"
 ADDRESS = "0x" + md5(b"a:3").hexdigest()  # custody address of user 3
 
@@ -94,7 +94,7 @@ def _(spark, sf):
     ("reactions",),
 )
 def _(spark, sf):
-    return lookup.reactions_by_target(_reactions(spark, sf), cast_id=(4, REACTED_HASH))
+    return lookup.reactions_by_target(_reactions(spark, sf), cast_id=(1, REACTED_HASH))
 
 
 @query(
@@ -109,11 +109,11 @@ def _(spark, sf):
 @query(
     "one_reaction",
     f"""SELECT * FROM {_BY_URL}
-        WHERE Fid = {FID} AND ReactionType = 'Like' AND TargetCastId = '{REACTED_REF}'""",
+        WHERE Fid = 1 AND ReactionType = 'Like' AND TargetCastId = '{REACTED_REF}'""",
     ("reactions",),
 )
 def _(spark, sf):
-    return lookup.reaction(_reactions(spark, sf), FID, "Like", cast_id=(4, REACTED_HASH))
+    return lookup.reaction(_reactions(spark, sf), 1, "Like", cast_id=(1, REACTED_HASH))
 
 
 @query(
@@ -132,11 +132,11 @@ def _(spark, sf):
 
 @query(
     "one_link",
-    f"SELECT * FROM live_links WHERE Fid = {FID} AND LinkType = 'follow' AND TargetFid = 7",
+    f"SELECT * FROM live_links WHERE Fid = {FID} AND LinkType = 'follow' AND TargetFid = 2",
     ("live_links",),
 )
 def _(spark, sf):
-    return lookup.link(_links(spark, sf), FID, "follow", 7)
+    return lookup.link(_links(spark, sf), FID, "follow", 2)
 
 
 _NEWEST = """(SELECT Fid, UserDataType, Value, Timestamp FROM profiles
