@@ -152,9 +152,15 @@ def latest_addresses(verifications: DataFrame) -> DataFrame:
 
 
 def pro_members(tiers: DataFrame, verifications: DataFrame, now: int) -> DataFrame:
-    """Active pro members with their newest Ethereum address, ``""`` if none."""
+    """Active pro members, each once, with their newest Ethereum address, ``""`` if none.
+
+    Both sides are folded to one row per user before the join and share its
+    partitioning.
+    """
     return (
         active_pro(tiers, now)
+        .select("fid")
+        .distinct()
         .join(latest_addresses(verifications), "fid", "left")
         .select(
             F.col("fid").alias("FID"),

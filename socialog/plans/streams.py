@@ -9,6 +9,7 @@ from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
 from socialog.plans.tables import _NORMALIZED, normalized_texts
 from socialog.session import new_path
+from socialog.sources.tables import scan_events
 from socialog.streaming import delivery
 
 
@@ -61,10 +62,9 @@ def _(spark, sf):
 
 @query("batch_delivery", _DELIVERED, ("delivered",))
 def _(spark, sf):
-    casts = delivery.normalized(fx.events(spark, sf))
-    return normalized_texts(
-        delivery.from_queue_rows(delivery.to_queue_rows(casts))
-    )
+    """The same transforms over the same files, without a stream."""
+    casts = delivery.normalized(scan_events(spark, event_files(spark, sf)))
+    return normalized_texts(delivery.from_queue_rows(delivery.to_queue_rows(casts)))
 
 
 @query(

@@ -76,11 +76,11 @@ def _(spark, sf):
 @query(
     "event_range_reverse",
     """SELECT id, type, timestamp, shard_index, processed_at FROM stream_events
-       WHERE id >= 100 ORDER BY id DESC LIMIT 50""",
+       WHERE id >= 100 AND shard_index = 2 ORDER BY id DESC LIMIT 50""",
     ("stream_events",),
 )
 def _(spark, sf):
-    return tables.event_range(fx.events(spark, sf), 100, size=50, reverse=True).select(
+    return tables.event_range(fx.events(spark, sf), 100, size=50, reverse=True, shard=2).select(
         *_EVENT_COLUMNS
     )
 
@@ -163,11 +163,19 @@ def _(spark, sf):
     return totals.withColumn("avg_flush_ms", F.round("avg_flush_ms", 6))
 
 
+@query("clustered_log", "SELECT * FROM reactions WHERE Fid = 3", ("reactions",))
+def _(spark, sf):
+    folder = new_path(spark, "clustered")
+    rows = sinks.clustered(fx.reactions(spark, sf), "Fid", "Timestamp")
+    sinks.write_tuned(rows, folder, "high_throughput")
+    return filters.of_fid(tables.scan_log(spark, folder, "reactions"), 3)
+
+
 @query("compacted_log", FLAT_SQL["links"], ("links",))
 def _(spark, sf):
     small, large = new_path(spark, "small"), new_path(spark, "compact")
     fx.links(spark, sf).repartition(12).write.parquet(small)
-    sinks.compact(spark, small, large, 2)
+    sinks.compact(spark, small, large)
     return tables.scan_log(spark, large, "links")
 
 

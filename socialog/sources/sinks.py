@@ -18,6 +18,8 @@ class WriteProfile:
     dictionary: bool = True
 
 
+FILE_BYTES = 512 * 1024 * 1024
+
 # The three tuning profiles.
 PROFILES = {
     "optimized": WriteProfile(50_000, 8192, 25_000),
@@ -61,11 +63,32 @@ def write_parts(df: DataFrame, path: str, parts: int, profile: str = "high_throu
     write_tuned(df.repartition(parts), path, profile)
 
 
-def compact(spark: SparkSession, source: str, target: str, parts: int) -> None:
-    """Rewrite many small Parquet files as ``parts`` files in a new folder."""
+def parts_for(spark: SparkSession, source: str, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` the data below ``source`` fills."""
+    files = spark.read.parquet(source).select("_metadata.file_path", "_metadata.file_size")
+    total = files.distinct().agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+    return max(1, -(-total // file_bytes))
+
+
+def compact(spark: SparkSession, source: str, target: str, parts: int | None = None) -> None:
+    """Rewrite many small Parquet files as ``parts`` larger ones in a new folder.
+
+    Without ``parts`` the number follows from the bytes there are.
+    """
+    parts = parts or parts_for(spark, source)
     spark.read.parquet(source).repartition(parts).write.option("compression", "zstd").parquet(target)
 
 
+def clustered(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """Range-partition and sort by ``keys`` for the write that follows.
+
+    Row groups then hold narrow key ranges, so a lookup by id or a time filter
+    skips most of them. Lead with the lookup key and add columns that split a
+    hot value, such as ``("Fid", "Timestamp")``.
+    """
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV parts without a header line."""
     df.write.mode(mode).option("header", "false").csv(path)

@@ -43,9 +43,12 @@ def event_range(
     stop_id: int | None = None,
     size: int | None = None,
     reverse: bool = False,
+    shard: int | None = None,
 ) -> DataFrame:
     """Events with ``start_id <= id <= stop_id`` in id order, at most ``size``."""
     chosen = events.filter(F.col("id") >= start_id)
+    if shard is not None:
+        chosen = chosen.filter(F.col("shard_index") == shard)
     if stop_id is not None:
         chosen = chosen.filter(F.col("id") <= stop_id)
     order = F.col("id").desc() if reverse else F.col("id").asc()

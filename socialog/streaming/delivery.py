@@ -47,6 +47,7 @@ def file_events(
     start_id: int | None = None,
     types: Iterable[str] = (),
     max_files: int = 1000,
+    shard: int | None = None,
 ) -> DataFrame:
     """Event stream over Parquet files, from ``start_id`` on.
 
@@ -55,7 +56,7 @@ def file_events(
     events = (
         spark.readStream.schema(schemas.EVENT).option("maxFilesPerTrigger", max_files).parquet(folder)
     )
-    return from_position(events, start_id, types)
+    return from_position(events, start_id, types, shard)
 
 
 def kafka_events(
@@ -79,9 +80,14 @@ def kafka_events(
 
 
 def from_position(
-    events: DataFrame, start_id: int | None = None, types: Iterable[str] = ()
+    events: DataFrame,
+    start_id: int | None = None,
+    types: Iterable[str] = (),
+    shard: int | None = None,
 ) -> DataFrame:
-    """Events past ``start_id`` of the given event types (all when empty)."""
+    """Events past ``start_id`` of the given event types (all when empty) and shard."""
+    if shard is not None:
+        events = events.filter(F.col("shard_index") == shard)
     if start_id is not None:
         events = events.filter(F.col("id") > start_id)
     types = list(types)

@@ -40,6 +40,12 @@ def settings(spark):
             spark.conf.set(key, value)
 
 
+@pytest.fixture
+def many_tasks(settings):
+    """Keep small shuffles in all their tasks."""
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+
+
 def final_plan(df) -> str:
     """The physical plan after adaptive execution has run."""
     df.collect()

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from socialog.operators import operations as op
 
 
+pytestmark = pytest.mark.usefixtures("many_tasks")
+
+
 def p99(values):
     ordered = sorted(values)
     return ordered[math.ceil(len(ordered) * 0.99) - 1]

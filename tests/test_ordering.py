@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from socialog.operators import ordering
 
 
+pytestmark = pytest.mark.usefixtures("many_tasks")
+
+
 @pytest.fixture(scope="module")
 def frame(spark):
     rng = random.Random(5)
@@ -20,8 +23,10 @@ def test_row_index_is_dense_and_ordered(frame):
     assert [r["id"] for r in by_index] == [r["id"] for r in sorted(rows, key=lambda r: (r["v"], r["id"]))]
 
 
-def test_row_index_numbers_copies(spark):
+def test_copies_are_spread_over_tasks(spark):
     copies = spark.range(2000).select(F.lit(1).alias("v")).repartition(5)
+    per_task = ordering._placed(copies, ["v"]).groupBy("_task").count().collect()
+    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 1000
     found = sorted(r["row_index"] for r in ordering.row_index(copies, "v").collect())
     assert found == list(range(2000))
 

@@ -49,6 +49,28 @@ def test_compaction_keeps_all_rows(spark, tmp_path):
     assert spark.read.parquet(large).agg(F.sum("id")).first()[0] == sum(range(500))
 
 
+def test_compaction_sizes_itself(spark, tmp_path):
+    small = str(tmp_path / "small")
+    spark.range(0, 40_000, 1, 10).write.parquet(small)
+    total = sum(f.stat().st_size for f in files(small))
+    assert sinks.parts_for(spark, small) == 1
+    assert sinks.parts_for(spark, small, total // 3) in (3, 4)
+    assert sinks.parts_for(spark, small, total) == 1
+
+
+def test_clustering_splits_a_hot_key_and_narrows_row_groups(spark, tmp_path, many_tasks):
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
+    df = spark.range(30_000).select(hot.alias("Fid"), F.col("id").alias("Timestamp"))
+    sinks.clustered(df, "Fid", "Timestamp").write.parquet(str(tmp_path / "c"))
+    ranges = []
+    for file in files(tmp_path / "c"):
+        stats = pq.ParquetFile(file).metadata.row_group(0).column(0).statistics
+        ranges.append((stats.min, stats.max))
+    ranges.sort()
+    assert len(ranges) > 1
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_csv_has_no_header(spark, tmp_path):
     df = spark.createDataFrame([(1, "0xaa"), (2, "")], "FID bigint, Address string").coalesce(1)
     sinks.write_csv(df, str(tmp_path / "c"))
