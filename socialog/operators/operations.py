@@ -177,24 +177,29 @@ def latency_statistics(calls: DataFrame) -> DataFrame:
     )
 
 
-def _window_p99(values: np.ndarray, window: int, block: int = 4096) -> np.ndarray:
-    """The ceil(0.99 n)-th smallest of the last n <= ``window`` values at each place.
+def _window_p99(window: int, block: int = 4096):
+    """A function for the ceil(0.99 n)-th smallest of the last n <= ``window`` values.
 
     Counted from the top it is one of the largest few of the window, so a
-    partial sort of each window is enough.
+    partial sort of each window is enough. Built as a closure, it travels to
+    the executors by value; they need numpy and not this package.
     """
-    held = np.minimum(np.arange(1, len(values) + 1), window)
-    from_top = held - np.ceil(held * 0.99).astype(int)
-    keep = int(from_top.max()) + 1
-    padded = np.concatenate([np.full(window - 1, -np.inf), values])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, window)
-    found = np.empty(len(values))
-    for start in range(0, len(values), block):
-        part = windows[start : start + block]
-        largest = np.sort(np.partition(part, window - keep, axis=1)[:, -keep:], axis=1)
-        rank = from_top[start : start + block]
-        found[start : start + block] = largest[np.arange(len(part)), keep - 1 - rank]
-    return found
+
+    def p99(values: np.ndarray) -> np.ndarray:
+        held = np.minimum(np.arange(1, len(values) + 1), window)
+        from_top = held - np.ceil(held * 0.99).astype(int)
+        keep = int(from_top.max()) + 1
+        padded = np.concatenate([np.full(window - 1, -np.inf), values])
+        windows = np.lib.stride_tricks.sliding_window_view(padded, window)
+        found = np.empty(len(values))
+        for start in range(0, len(values), block):
+            part = windows[start : start + block]
+            largest = np.sort(np.partition(part, window - keep, axis=1)[:, -keep:], axis=1)
+            rank = from_top[start : start + block]
+            found[start : start + block] = largest[np.arange(len(part)), keep - 1 - rank]
+        return found
+
+    return p99
 
 
 def rolling_p99(
@@ -221,12 +226,13 @@ def rolling_p99(
         F.explode(F.when(into_next, F.array(here, here + 1)).otherwise(F.array(here))),
     )
     schema = T.StructType([*calls.schema.fields, T.StructField("p99", T.DoubleType())])
+    names, p99 = schema.names, _window_p99(window)
 
     def one_chunk(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_n", ignore_index=True)
-        rows["p99"] = _window_p99(rows[value].to_numpy(dtype=float), window)
+        rows["p99"] = p99(rows[value].to_numpy(dtype=float))
         own = rows["_n"] // chunk == rows["_chunk"]
-        return rows.loc[own, schema.names]
+        return rows.loc[own, names]
 
     return spread.groupBy(group, "_chunk").applyInPandas(one_chunk, schema)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialog.functions import clock, codec, labels
+from socialog.session import written
 from socialog.sources import schemas
 
 FIRST_CAST = 94_608_000  # protocol second of 2024-01-01
@@ -266,6 +267,11 @@ def messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table, stored once and scanned, as it would be on a cluster."""
+    return written(derive_events(spark, sf_dir), "events")
+
+
+def derive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event stream: merges of casts and links, prunes without a body."""
     ev = base_events(spark, sf_dir)
     k, c, eid, user = F.col("k"), F.col("c"), F.col("event_id"), F.col("user_id")

@@ -16,7 +16,7 @@ from socialog.streaming import delivery
 def event_files(spark, sf, files: int = 10) -> str:
     """The events as ``files`` Parquet files in id order."""
     folder = new_path(spark, "events")
-    fx.events(spark, sf).repartitionByRange(files, "id").write.parquet(folder)
+    fx.derive_events(spark, sf).repartitionByRange(files, "id").write.parquet(folder)
     return folder
 
 

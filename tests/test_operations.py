@@ -1,5 +1,7 @@
 import math
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,15 @@ def test_rolling_p99_matches_brute_force(spark, window, chunk):
     assert found == want
 
 
+def test_executors_do_not_need_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(op._window_p99(10)))
+    code = "import pickle, numpy; print(pickle.load(open('f', 'rb'))(numpy.arange(5.0)))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert "[0. 1. 2. 3. 4.]" in done.stdout, done.stderr
+
+
 @pytest.mark.parametrize("q", [0.0, 0.01, 0.5, 0.99, 1.0])
 def test_percentile_disc_is_exact(spark, q):
     rng = random.Random(11)
