@@ -58,17 +58,24 @@ def mentions_text(mentions: Column) -> Column:
     return or_blank(F.array_join(mentions, MENTION_SEPARATOR))
 
 
+def _fill(template: str, *values: Column) -> Column:
+    """``template`` with each ``%s`` replaced by a value, as one concat."""
+    first, *rest = template.split("%s")
+    pieces = [F.lit(first)]
+    for value, text in zip(values, rest, strict=True):
+        pieces += [value, F.lit(text)]
+    return F.concat(*pieces)
+
+
 def embed_text(embed: Column) -> Column:
     """One embed; a cast id wins over a URL."""
     cast_id = embed["cast_id"]
     return (
         F.when(
             cast_id.isNotNull(),
-            F.format_string(
-                CAST_EMBED, or_zero(cast_id["fid"]).cast("string"), hex_text(cast_id["hash"])
-            ),
+            _fill(CAST_EMBED, or_zero(cast_id["fid"]).cast("string"), hex_text(cast_id["hash"])),
         )
-        .when(F.length(embed["url"]) > 0, F.format_string(URL_EMBED, embed["url"]))
+        .when(F.length(embed["url"]) > 0, _fill(URL_EMBED, embed["url"]))
         .otherwise("")
     )
 

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from socialog.functions import clock, codec, labels
 from socialog.operators import analytics, filters, normalize, ordering, state
 from socialog.plans import fixtures as fx
+from socialog.plans import jobs
 from socialog.plans.catalog import query
 from socialog.session import new_path
 from socialog.sources import schemas, sinks, tables
 
 NOW = 1_705_968_000  # Unix second of 2024-01-23, "now" of the time filters
+LATER = 1_735_689_600  # 2025-01-01, after all test rows
 FLAT_SQL = {kind: f"SELECT * FROM {kind}" for kind in fx.FLAT}
 
 # ---- scans and sinks -------------------------------------------------------
@@ -194,6 +196,31 @@ def _(spark, sf):
     )
 
 
+@query("messages_to_live_links", "SELECT * FROM live_links", ("live_links",))
+def _(spark, sf):
+    """Nested messages to flat log to exported state, each stored."""
+    source, root, target = (new_path(spark, name) for name in ("messages", "log", "export"))
+    for kind in ("links", "reactions"):
+        fx.messages(spark, sf, kind).write.mode("append").parquet(source)
+    jobs.write_log(spark, source, root, "links", LATER)
+    jobs.export_state(spark, root, "links", target)
+    return spark.read.schema(schemas.LINKS).parquet(target)
+
+
+@query(
+    "recent_messages_of_fid",
+    f"""SELECT * FROM reactions WHERE Fid = 3 AND Timestamp + 1609459200 >= {NOW} - 7 * 86400
+        AND Timestamp + 1609459200 <= {NOW} + 86400""",
+    ("reactions",),
+)
+def _(spark, sf):
+    source, root = new_path(spark, "messages"), new_path(spark, "log")
+    for kind in ("links", "reactions"):
+        fx.messages(spark, sf, kind).write.mode("append").parquet(source)
+    jobs.write_log(spark, source, root, "reactions", NOW, fid=3, days=7)
+    return tables.scan_kind(spark, root, "reactions")
+
+
 # ---- projections -----------------------------------------------------------
 
 _COMMON = "Fid, MessageType, Timestamp, Hash, SignatureScheme, Signature, Signer"

@@ -40,6 +40,14 @@ PROFILES = _flat(UserDataType=_TEXT, Value=_TEXT, UserDataTypeReadable=_TEXT)
 
 FLAT = {"casts": CASTS, "reactions": REACTIONS, "links": LINKS, "profiles": PROFILES}
 
+# Message types that belong to each table.
+MESSAGE_TYPES = {
+    "casts": ("CastAdd", "CastRemove"),
+    "reactions": ("ReactionAdd", "ReactionRemove"),
+    "links": ("LinkAdd", "LinkRemove"),
+    "profiles": ("UserDataAdd",),
+}
+
 CAST_ID = _record(fid=_NUMBER, hash=_BYTES)
 EMBED = _record(url=_TEXT, cast_id=CAST_ID)
 

@@ -16,7 +16,10 @@ TABLES = (
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(
+        8,
+        **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "4000"},
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
