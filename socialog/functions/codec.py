@@ -85,11 +85,11 @@ def embeds_text(embeds: Column) -> Column:
 
 
 def parse_cast_id(text: Column) -> Column:
-    """``fid:0xhash`` back to a struct, NULL for ``""``."""
+    """``fid:0xhash`` back to a struct, NULL for ``""``; a bad number reads NULL."""
     return F.when(
         F.length(text) > 0,
         F.struct(
-            F.substring_index(text, ":", 1).cast("long").alias("fid"),
+            F.substring_index(text, ":", 1).try_cast("bigint").alias("fid"),
             F.substring_index(text, ":", -1).alias("hash"),
         ),
     )
@@ -97,9 +97,8 @@ def parse_cast_id(text: Column) -> Column:
 
 def parse_mentions(text: Column) -> Column:
     """Comma text back to an array of ids; ``""`` gives an empty array."""
-    return F.when(
-        F.length(text) > 0, F.split(text, MENTION_SEPARATOR).cast("array<bigint>")
-    ).otherwise(F.array().cast("array<bigint>"))
+    ids = F.transform(F.split(text, MENTION_SEPARATOR), lambda part: part.try_cast("bigint"))
+    return F.when(F.length(text) > 0, ids).otherwise(F.array().cast("array<bigint>"))
 
 
 def parse_embeds(text: Column) -> Column:
@@ -111,7 +110,7 @@ def parse_embeds(text: Column) -> Column:
     parts = F.split(text, EMBED_BREAK)
 
     def embed(part: Column) -> Column:
-        fid = or_null(F.regexp_extract(part, CAST_PATTERN, 1)).cast("bigint")
+        fid = or_null(F.regexp_extract(part, CAST_PATTERN, 1)).try_cast("bigint")
         cast_id = F.struct(fid.alias("fid"), F.regexp_extract(part, CAST_PATTERN, 2).alias("hash"))
         return F.struct(
             or_null(F.regexp_extract(part, URL_PATTERN, 1)).alias("url"),

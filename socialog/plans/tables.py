@@ -369,7 +369,8 @@ def _(spark, sf):
               CASE WHEN MessageType = 'CastAdd' THEN Text END AS cast_text,
               CAST(nullif(split_part(ParentCastId, ':', 1), '') AS BIGINT) AS parent_cast_fid,
               nullif(substr(split_part(ParentCastId, ':', 2), 3), '') AS parent_cast_hash,
-              CASE WHEN Mentions <> '' THEN len(string_split(Mentions, ',')) END AS mentions_count,
+              CAST(CASE WHEN Mentions <> '' THEN len(string_split(Mentions, ',')) END AS INTEGER)
+                  AS mentions_count,
               nullif(Mentions, '') AS mentions, nullif(substr(TargetHash, 3), '') AS target_hash
        FROM casts""",
     ("casts",),

@@ -44,6 +44,11 @@ def test_blanks_parse_to_nothing(spark):
     assert one(spark, "v string", "", codec.parse_embeds) == []
 
 
+def test_bad_numbers_read_null(spark):
+    assert tuple(one(spark, "v string", "x:0xaa", codec.parse_cast_id)) == (None, "0xaa")
+    assert one(spark, "v string", "1,x,3", codec.parse_mentions) == [1, None, 3]
+
+
 def test_unknown_field_label(spark):
     got = [one(spark, "v string", f, labels.field_label) for f in ("Pfp", "Display", "Bio", "Url", "Username", None)]
     assert got == ["Profile Picture", "Display Name", "Bio", "URL", "Unknown", "Unknown"]

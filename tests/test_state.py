@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from helpers import flat, hashes, link
 
@@ -23,6 +25,25 @@ def test_latest_event_wins(spark, how, rows, kept):
     assert hashes(state.live_links(flat(spark, "links", rows), how=how)) == kept
 
 
+@pytest.mark.parametrize("how", FORMS)
+def test_random_log_against_brute_force(spark, how):
+    rng = random.Random(17)
+    rows = [
+        link(rng.randrange(4), rng.randrange(4), rng.randrange(6), rng.random() < 0.6, f"{i:03}")
+        for i in range(300)
+    ]
+    newest = {}
+    for r in rows:
+        key = (r["Fid"], r["TargetFid"])
+        newest[key] = max(newest.get(key, -1), r["Timestamp"])
+    want = sorted(
+        r["Hash"]
+        for r in rows
+        if r["MessageType"] == "LinkAdd" and r["Timestamp"] == newest[r["Fid"], r["TargetFid"]]
+    )
+    assert hashes(state.live_links(flat(spark, "links", rows), how=how)) == want
+
+
 def url_reaction(at, url, digest):
     return {
         "Fid": 1, "Timestamp": at, "MessageType": "ReactionAdd", "ReactionType": "Like",
