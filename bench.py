@@ -6,7 +6,9 @@ import json
 import os
 import time
 
-from socialog.operators import normalize, state
+from pyspark.sql import functions as F
+
+from socialog.operators import normalize
 from socialog.plans import fixtures as fx
 from socialog.plans.catalog import catalog
 from socialog.session import local_session, new_path
@@ -56,6 +58,12 @@ def noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def prepare_logs(spark) -> None:
+    """Derive and store the log tables that the queries scan."""
+    for table in (*fx.FLAT.values(), *fx.MESSAGES.values(), fx.events, fx.calls):
+        table(spark, SF_DIR)
+
+
 def normalize_and_write(spark) -> float:
     """Rows per second from nested messages to tuned Parquet."""
     source = new_path(spark, "bench-messages")
@@ -83,8 +91,9 @@ def main() -> None:
     spark = local_session(CPUS, **{"spark.sql.shuffle.partitions": CPUS})
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog()
-    noop(state.live_links(fx.links(spark, SF_DIR)))  # start the JVM's compilers
-    seconds = {
+    noop(spark.range(10_000_000).groupBy((F.col("id") % 1000).alias("k")).count())  # warm up
+    seconds = {"prepare_logs": round(timed(lambda: prepare_logs(spark)), 3)}
+    seconds |= {
         name: round(timed(lambda q=queries[name]: noop(q.build(spark, SF_DIR))), 3)
         for name in HEADLINE
     }

@@ -1,15 +1,20 @@
-"""The log tables derived from the given test tables, as Spark views.
+"""The log tables, derived from the given test tables.
 
-``fixture_sql`` states the same views in SQL for the oracle.
+``derive_*`` are Spark views over the given tables; ``fixture_sql`` states the
+same views in SQL for the oracle. The log tables are stored once per session
+below the shared folder, in files of one crawler batch, and scanned from there,
+as they would be on a cluster.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from socialog.functions import clock, codec, labels
-from socialog.session import written
+from socialog.session import new_path
 from socialog.sources import schemas
 
 FIRST_CAST = 94_608_000  # protocol second of 2024-01-01
@@ -47,7 +52,7 @@ def _flat(df: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
     return df.select(*schemas.build(schemas.FLAT[kind], {**signed, **values}))
 
 
-def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = base_events(spark, sf_dir).filter(F.col("event_type").isin("purchase", "error"))
     sec = F.col("sec")
     return _flat(
@@ -65,7 +70,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = base_events(spark, sf_dir).filter(F.col("event_type").isin("click", "view", "error"))
     k, c = F.col("k"), F.col("c")
     to_url = k % 9 == 0
@@ -85,7 +90,7 @@ def reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = base_events(spark, sf_dir).filter(F.col("event_type") == "signup")
     k = F.col("k")
     kind = F.element_at(F.array(*[F.lit(f) for f in FIELDS]), (k % 7 + 1).cast("int"))
@@ -123,7 +128,7 @@ def _cast_hash(turn: Column) -> Column:
     return digest("c:", F.col("conv_id"), ":", turn)
 
 
-def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv, turn, url = F.col("conv_id"), F.col("turn"), F.col("url")
     fid, parent_fid = (conv + turn) % 15, (conv + turn - 1) % 15
     at = F.lit(FIRST_CAST) + conv * 3600 + turn * 60
@@ -205,7 +210,7 @@ def _message(flat: DataFrame, bodies: dict[str, Column]) -> DataFrame:
     )
 
 
-def cast_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_cast_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = casts(spark, sf_dir)
     embeds = F.transform(
         codec.parse_embeds(F.col("Embeds")),
@@ -231,7 +236,7 @@ def cast_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_reaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(
         F.col("ReactionType").alias("type"),
         _split_ref(F.col("TargetCastId")).alias("target_cast_id"),
@@ -240,7 +245,7 @@ def reaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(reactions(spark, sf_dir), {"reaction_body": body})
 
 
-def link_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_link_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(
         F.col("LinkType").alias("type"),
         F.col("TargetFid").alias("target_fid"),
@@ -249,28 +254,11 @@ def link_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(links(spark, sf_dir), {"link_body": body})
 
 
-def profile_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_profile_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(F.col("UserDataType").alias("type"), F.col("Value").alias("value"))
     return _message(profiles(spark, sf_dir), {"user_data_body": body})
 
 
-MESSAGES = {
-    "casts": cast_messages,
-    "reactions": reaction_messages,
-    "links": link_messages,
-    "profiles": profile_messages,
-}
-
-
-def messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return MESSAGES[kind](spark, sf_dir)
-
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table, stored once and scanned, as it would be on a cluster."""
-    return written(derive_events(spark, sf_dir), "events")
-
-
 def derive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event stream: merges of casts and links, prunes without a body."""
     ev = base_events(spark, sf_dir)
@@ -387,7 +375,7 @@ def custody(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col("event_type") != "error"
     return base_events(spark, sf_dir).select(
         "event_id",
@@ -422,4 +410,48 @@ def sweep_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BATCH_ROWS = 25_000
+_STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+
+
+def stored(derive):
+    """``derive``, written on first use in a session and scanned ever after."""
+
+    def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, derive.__name__)
+        if key in _STORED:
+            path, schema = _STORED[key]
+            try:
+                return spark.read.schema(schema).parquet(path)
+            except AnalysisException:  # the shared folder was emptied
+                del _STORED[key]
+        df, path = derive(spark, sf_dir), new_path(spark, derive.__name__)
+        df.write.option("maxRecordsPerFile", BATCH_ROWS).parquet(path)
+        _STORED[key] = path, df.schema
+        return spark.read.schema(df.schema).parquet(path)
+
+    return scan
+
+
+links = stored(derive_links)
+reactions = stored(derive_reactions)
+profiles = stored(derive_profiles)
+casts = stored(derive_casts)
+cast_messages = stored(derive_cast_messages)
+reaction_messages = stored(derive_reaction_messages)
+link_messages = stored(derive_link_messages)
+profile_messages = stored(derive_profile_messages)
+events = stored(derive_events)
+calls = stored(derive_calls)
+
 FLAT = {"casts": casts, "reactions": reactions, "links": links, "profiles": profiles}
+MESSAGES = {
+    "casts": cast_messages,
+    "reactions": reaction_messages,
+    "links": link_messages,
+    "profiles": profile_messages,
+}
+
+
+def messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return MESSAGES[kind](spark, sf_dir)

@@ -9,14 +9,13 @@ from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
 from socialog.plans.tables import _NORMALIZED, normalized_texts
 from socialog.session import new_path
-from socialog.sources.tables import scan_events
 from socialog.streaming import delivery
 
 
 def event_files(spark, sf, files: int = 10) -> str:
     """The events as ``files`` Parquet files in id order."""
     folder = new_path(spark, "events")
-    fx.derive_events(spark, sf).repartitionByRange(files, "id").write.parquet(folder)
+    fx.events(spark, sf).repartitionByRange(files, "id").write.parquet(folder)
     return folder
 
 
@@ -62,8 +61,8 @@ def _(spark, sf):
 
 @query("batch_delivery", _DELIVERED, ("delivered",))
 def _(spark, sf):
-    """The same transforms over the same files, without a stream."""
-    casts = delivery.normalized(scan_events(spark, event_files(spark, sf)))
+    """The same transforms without a stream."""
+    casts = delivery.normalized(fx.events(spark, sf))
     return normalized_texts(delivery.from_queue_rows(delivery.to_queue_rows(casts)))
 
 
