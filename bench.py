@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -59,9 +60,10 @@ def noop(df) -> None:
 
 
 def prepare_logs(spark) -> None:
-    """Derive and store the log tables that the queries scan."""
-    for table in (*fx.FLAT.values(), *fx.MESSAGES.values(), fx.events, fx.calls):
-        table(spark, SF_DIR)
+    """Derive and store the log tables that the queries scan, several jobs at a time."""
+    logs = (*fx.FLAT.values(), *fx.MESSAGES.values(), fx.events, fx.calls)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda table: table(spark, SF_DIR), logs))
 
 
 def normalize_and_write(spark) -> float:

@@ -8,8 +8,7 @@ up in one task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -121,14 +120,6 @@ def page_numbers(df: DataFrame, group: list[str], size: int, *order: Column | st
     ).drop("group_index")
 
 
-@dataclass(frozen=True)
-class Page:
-    """Rows of one page and the token of the next (None on the last page)."""
-
-    rows: DataFrame
-    next_token: tuple[Any, ...] | None
-
-
 def after(keys: list[str], token: tuple[Any, ...], reverse: bool = False) -> Column:
     """Rows past ``token`` in key order, as plain comparisons a scan can use."""
 
@@ -156,6 +147,28 @@ def page_rows(
     return chosen.orderBy(*order).limit(size)
 
 
+class Page:
+    """One page of an ordered list."""
+
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: list[str],
+        size: int,
+        token: tuple[Any, ...] | None = None,
+        reverse: bool = False,
+    ):
+        self.keys, self.size = keys, size
+        self.rows = page_rows(df, keys, size, token, reverse)
+        self._ahead = page_rows(df, keys, size + 1, token, reverse)
+
+    @cached_property
+    def next_token(self) -> tuple[Any, ...] | None:
+        """Keys of the last row, None on the last page; reads ``size + 1`` keys."""
+        found = self._ahead.select(*self.keys).collect()
+        return tuple(found[self.size - 1]) if len(found) > self.size else None
+
+
 def page(
     df: DataFrame,
     keys: list[str],
@@ -163,13 +176,8 @@ def page(
     token: tuple[Any, ...] | None = None,
     reverse: bool = False,
 ) -> Page:
-    """One page; reads at most ``size + 1`` keys to the driver for the token."""
-    found = page_rows(df, keys, size + 1, token, reverse).select(*keys).collect()
-    more = len(found) > size
-    return Page(
-        page_rows(df, keys, size, token, reverse),
-        tuple(found[size - 1]) if more else None,
-    )
+    """The page past ``token``. Nothing runs before its rows or its token are asked for."""
+    return Page(df, keys, size, token, reverse)
 
 
 def running_sums(

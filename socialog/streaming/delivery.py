@@ -171,12 +171,12 @@ def counts_per_second(events: DataFrame, delay: str = "10 seconds") -> DataFrame
     """Merged messages per second and type; the same on a stream or a batch."""
     return (
         filters.merged_messages(events)
-        .withColumn("_at", clock.to_timestamp(F.col("timestamp")))
-        .withWatermark("_at", delay)
-        .groupBy(
-            F.window("_at", "1 second").alias("_window"),
+        .select(
+            clock.to_timestamp(F.col("timestamp")).alias("_at"),
             F.col("merge_message_body.message.data.type").alias("message_type"),
         )
+        .withWatermark("_at", delay)
+        .groupBy(F.window("_at", "1 second").alias("_window"), "message_type")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("_window.start").alias("second"), "message_type", "n")
     )
