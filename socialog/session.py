@@ -7,6 +7,10 @@ import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PART_BYTES = 200 * 1024 * 1024
+UNPACKED = 3  # rows in a shuffle take about this many times their Parquet bytes
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,6 +59,25 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_bytes(spark: SparkSession, *folders: str) -> int:
+    """Bytes of the Parquet files below ``folders``; lists them and reads none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    total = files.load(list(folders)).agg(F.coalesce(F.sum("length"), F.lit(0)))
+    return total.first()[0]
+
+
+def size_shuffles(spark: SparkSession, *folders: str, part_bytes: int = PART_BYTES) -> int:
+    """Set the shuffle partitions so that one holds about ``part_bytes`` of the input.
+
+    Call it before a run over ``folders``. Too many does no harm: adaptive
+    execution merges small ones.
+    """
+    wanted = -(-stored_bytes(spark, *folders) * UNPACKED // part_bytes)
+    parts = max(wanted, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    return parts
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from socialog.session import stored_bytes
+
 
 @dataclass(frozen=True)
 class WriteProfile:
@@ -65,9 +67,7 @@ def write_parts(df: DataFrame, path: str, parts: int, profile: str = "high_throu
 
 def parts_for(spark: SparkSession, source: str, file_bytes: int = FILE_BYTES) -> int:
     """How many files of about ``file_bytes`` the data below ``source`` fills."""
-    files = spark.read.parquet(source).select("_metadata.file_path", "_metadata.file_size")
-    total = files.distinct().agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
-    return max(1, -(-total // file_bytes))
+    return max(1, -(-stored_bytes(spark, source) // file_bytes))
 
 
 def compact(spark: SparkSession, source: str, target: str, parts: int | None = None) -> None:
