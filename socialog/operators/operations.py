@@ -18,6 +18,15 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def _share(part: Column, whole: Column) -> Column:
+    """``part / whole``, 0 of nothing."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
+def _total(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
 def latest_fid(shards: DataFrame) -> DataFrame:
     """Highest user id over all shards: the highest of each, then of these."""
     per_shard = shards.groupBy("shard").agg(F.max("Fid").alias("Fid"))
@@ -47,7 +56,7 @@ def sweep_summary(log: DataFrame, first: int, last: int, failed: DataFrame | Non
     return per_fid.agg(
         F.lit(scanned).cast("long").alias("scanned_fids"),
         _rows().alias("active_fids"),
-        F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
+        _total("messages").alias("messages"),
     ).withColumn("failed_fids", failures)
 
 
@@ -102,10 +111,10 @@ def call_statistics(calls: DataFrame) -> DataFrame:
         _rows().alias("total"),
         F.count_if("ok").alias("succeeded"),
         F.count_if(failed).alias("failed"),
-        (F.count_if("ok") * 100.0 / _rows()).alias("success_pct"),
+        (_share(F.count_if("ok"), _rows()) * 100).alias("success_pct"),
         F.count_if(F.col("retries") > 0).alias("retried_calls"),
-        F.sum("retries").alias("total_retries"),
-        F.max("retries").alias("max_retries"),
+        _total("retries").alias("total_retries"),
+        F.coalesce(F.max("retries"), F.lit(0)).alias("max_retries"),
     )
 
 
@@ -263,15 +272,15 @@ def recent_throughput(calls: DataFrame, group: str, at: str = "called_at", span:
 def filter_rate(df: DataFrame, keep: Column) -> DataFrame:
     kept = F.count_if(keep)
     return df.agg(
-        _rows().alias("received"), kept.alias("kept"), (kept / _rows()).alias("ratio")
+        _rows().alias("received"), kept.alias("kept"), _share(kept, _rows()).alias("ratio")
     )
 
 
 def batch_sizes(batches: DataFrame) -> DataFrame:
     return batches.agg(
-        F.sum("rows").alias("items"),
+        _total("rows").alias("items"),
         _rows().alias("batches"),
-        (F.sum("rows") / _rows()).alias("avg_batch"),
+        _share(F.sum("rows"), _rows()).alias("avg_batch"),
     )
 
 

@@ -141,13 +141,18 @@ def active_pro(tiers: DataFrame, now: int) -> DataFrame:
 
 
 def latest_addresses(verifications: DataFrame) -> DataFrame:
-    """Newest verified Ethereum address per user; ``seq`` breaks ties."""
+    """Newest verified Ethereum address per user; of several at that second the first listed.
+
+    ``seq`` is the place in the list. Second 0 stands for no time and never counts.
+    """
     return (
         verifications.filter(
-            (F.col("type") == "VerificationAddEthAddress") & (F.col("protocol") == "Ethereum")
+            (F.col("type") == "VerificationAddEthAddress")
+            & (F.col("protocol") == "Ethereum")
+            & (F.col("timestamp") > 0)
         )
         .groupBy("fid")
-        .agg(F.max_by("address", F.struct("timestamp", "seq")).alias("address"))
+        .agg(F.max_by("address", F.struct("timestamp", -F.col("seq"))).alias("address"))
     )
 
 

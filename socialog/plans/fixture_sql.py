@@ -173,7 +173,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         ("verifications",),
         """
         SELECT fid, address FROM verifications WHERE protocol = 'Ethereum'
-        QUALIFY row_number() OVER (PARTITION BY fid ORDER BY timestamp DESC, seq DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY fid ORDER BY timestamp DESC, seq) = 1""",
     ),
     "roles": (
         ("verifications",),

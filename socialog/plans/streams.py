@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from socialog.operators import filters
 from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
-from socialog.plans.tables import _NORMALIZED, normalized_texts
+from socialog.plans.tables import NORMALIZED, normalized_texts
 from socialog.session import new_path
+from socialog.sources import schemas
 from socialog.streaming import delivery
 
 
@@ -40,7 +41,7 @@ def _delivered(spark, sf, **options):
     return delivery.read_queues(spark, sink)
 
 
-_DELIVERED = f"SELECT queue, {_NORMALIZED} FROM delivered"
+_DELIVERED = f"SELECT queue, {NORMALIZED} FROM delivered"
 
 
 @query("stream_delivery", _DELIVERED, ("delivered",))
@@ -68,7 +69,7 @@ def _(spark, sf):
 
 @query(
     "all_types_as_removes",
-    f"""SELECT queue, {_NORMALIZED} FROM normalized WHERE latency_ms <= 60000""",
+    f"""SELECT queue, {NORMALIZED} FROM normalized WHERE latency_ms <= 60000""",
     ("normalized",),
 )
 def _(spark, sf):
@@ -122,14 +123,14 @@ def _(spark, sf):
 
 @query(
     "stream_from_newest",
-    f"""SELECT queue, {_NORMALIZED} FROM delivered
+    f"""SELECT queue, {NORMALIZED} FROM delivered
         WHERE event_id > (SELECT max(id) // 2 FROM stream_events)""",
     ("delivered",),
 )
 def _(spark, sf):
     """Start where the first half of the events ended."""
     source, sink = event_files(spark, sf), new_path(spark, "queues")
-    stored = spark.read.schema(fx.schemas.EVENT).parquet(source)
+    stored = spark.read.schema(schemas.EVENT).parquet(source)
     half = delivery.newest_id(stored) // 2
     begin = delivery.start_id(stored.filter(F.col("id") <= half))
     events = delivery.file_events(spark, source, start_id=begin, types=["MERGE_MESSAGE"])

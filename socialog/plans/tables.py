@@ -332,7 +332,7 @@ def _(spark, sf):
     )
 
 
-_NORMALIZED = """fid, hash, timestamp, text, mentions, parent_hash, parent_url, embed_urls,
+NORMALIZED = """fid, hash, timestamp, text, mentions, parent_hash, parent_url, embed_urls,
                  event_id, message_type, target_hash, processed_at"""
 
 
@@ -355,7 +355,7 @@ def normalized_texts(casts):
     )
 
 
-@query("normalized_casts", f"SELECT {_NORMALIZED} FROM normalized", ("normalized",))
+@query("normalized_casts", f"SELECT {NORMALIZED} FROM normalized", ("normalized",))
 def _(spark, sf):
     merged = filters.merged_messages(fx.events(spark, sf))
     return normalized_texts(normalize.normalize_events(merged))

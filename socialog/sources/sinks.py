@@ -125,12 +125,16 @@ def write_statistics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sink_totals(batches: DataFrame) -> DataFrame:
-    """Batches, rows, bytes, average and peak flush time of a batch log."""
+    """Batches, rows, bytes, average and peak flush time of a batch log; 0 without any."""
+
+    def known(measure: Column, name: str) -> Column:
+        return F.coalesce(measure, F.lit(0)).alias(name)
+
     return batches.agg(
         F.count(F.lit(1)).alias("batches"),
-        F.sum("rows").alias("rows"),
-        F.sum("bytes").alias("bytes"),
-        F.sum("flush_ms").alias("total_flush_ms"),
-        F.avg("flush_ms").alias("avg_flush_ms"),
-        F.max("flush_ms").alias("peak_flush_ms"),
+        known(F.sum("rows"), "rows"),
+        known(F.sum("bytes"), "bytes"),
+        known(F.sum("flush_ms"), "total_flush_ms"),
+        known(F.avg("flush_ms"), "avg_flush_ms"),
+        known(F.max("flush_ms"), "peak_flush_ms"),
     )

@@ -7,7 +7,7 @@ from socialog.operators import normalize
 from socialog.plans import fixtures as fx
 from socialog.sources import schemas
 
-EMBED = "url string, cast_id struct<fid: bigint, hash: binary>"
+EMBEDS = "array<struct<url: string, cast_id: struct<fid: bigint, hash: binary>>>"
 
 
 def one(spark, schema, value, column):
@@ -24,7 +24,7 @@ def test_hex_text(spark, value, text):
 
 def test_cast_id_wins_over_url(spark):
     embeds = [("http://u", (7, b"\x0f")), ("http://u", None), ("", None)]
-    text = one(spark, f"v array<struct<{EMBED.replace('url string', 'url: string').replace('cast_id struct', 'cast_id: struct')}>>", embeds, codec.embeds_text)
+    text = one(spark, f"v {EMBEDS}", embeds, codec.embeds_text)
     assert text == '{ "castId": { "fid": "7", "hash": "0x0f" } }|{ "url": "http://u" }|'
 
 
@@ -50,7 +50,8 @@ def test_bad_numbers_read_null(spark):
 
 
 def test_unknown_field_label(spark):
-    got = [one(spark, "v string", f, labels.field_label) for f in ("Pfp", "Display", "Bio", "Url", "Username", None)]
+    fields = ("Pfp", "Display", "Bio", "Url", "Username", None)
+    got = [one(spark, "v string", f, labels.field_label) for f in fields]
     assert got == ["Profile Picture", "Display Name", "Bio", "URL", "Unknown", "Unknown"]
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from socialog.operators import operations as op
+from socialog.sources import sinks
 
 
 pytestmark = pytest.mark.usefixtures("many_tasks")
@@ -99,6 +100,21 @@ def test_count_map_leaves_out_blank_keys(spark):
     assert op.count_map(df, "k", "m").first()["m"] == {"a": 2, "b": 1}
 
 
+def test_statistics_of_nothing_are_zero(spark):
+    calls = spark.createDataFrame(
+        [], "context string, ok boolean, error_type string, retries bigint, latency_ms double, called_at bigint"
+    )
+    assert set(op.call_statistics(calls).first()) == {0}
+    latencies = op.latency_statistics(calls).first()
+    assert (latencies["calls"], latencies["p99_ms"], latencies["calls_per_second"]) == (0, None, 0)
+    assert op.rolling_p99(calls, "context", ["called_at"], "latency_ms").count() == 0
+    assert op.recent_throughput(calls, "context").count() == 0
+    assert tuple(op.filter_rate(calls, F.col("ok")).first()) == (0, 0, 0)
+    batches = spark.createDataFrame([], "rows bigint, bytes bigint, flush_ms bigint")
+    assert set(op.batch_sizes(batches).first()) == {0}
+    assert set(sinks.sink_totals(batches).first()) == {0}
+
+
 def test_filter_rate(spark):
     row = op.filter_rate(spark.range(8), F.col("id") < 2).first()
     assert tuple(row) == (8, 2, 0.25)

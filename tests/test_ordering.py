@@ -49,6 +49,14 @@ def test_group_index_keeps_null_groups(spark):
     assert sorted((r["v"], r["group_index"]) for r in rows) == [(1, 0), (2, 1), (3, 0)]
 
 
+def test_numbering_nothing(spark):
+    none = spark.range(0)
+    assert ordering.row_index(none, "id").count() == 0
+    assert ordering.group_index(none, ["id"], "id").count() == 0
+    assert ordering.even_parts(none, 3, "id").count() == 0
+    assert ordering.page(none, ["id"], 3).next_token is None
+
+
 @pytest.mark.parametrize("rows, parts", [(10, 3), (3, 5), (12, 4), (1, 1), (7, 7)])
 def test_even_parts_differ_by_at_most_one(spark, rows, parts):
     found = ordering.even_parts(spark.range(rows), parts, "id").orderBy("id").collect()

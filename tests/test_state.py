@@ -94,6 +94,21 @@ def test_first_pro_tier_decides(spark):
     assert [r["fid"] for r in found] == [2]
 
 
+def test_first_listed_of_the_newest_addresses(spark):
+    schema = "fid bigint, type string, timestamp bigint, address string, protocol string, seq bigint"
+    add, other = "VerificationAddEthAddress", "VerificationRemove"
+    rows = [
+        (1, add, 5, "a", "Ethereum", 1),
+        (1, add, 9, "b", "Ethereum", 2),
+        (1, add, 9, "c", "Ethereum", 3),
+        (1, add, 10, "d", "Solana", 4),
+        (1, other, 11, "e", "Ethereum", 5),
+        (2, add, 0, "f", "Ethereum", 1),
+    ]
+    found = state.latest_addresses(spark.createDataFrame(rows, schema)).collect()
+    assert [tuple(r) for r in found] == [(1, "b")]
+
+
 def test_compact_links_pieces_make_the_whole_list(spark):
     links = flat(spark, "links", [link(1, t, 1) for t in (7, 3, 3, 25, 12, 19)])
     pieces = state.compact_links(links, span=10).orderBy("Part").collect()
