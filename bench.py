@@ -106,7 +106,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")),
                 "normalize_and_write_rows_per_sec": round(normalize_and_write(spark)),
                 "stream_events_per_sec": round(stream(spark)),
             }
