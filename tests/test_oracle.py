@@ -5,8 +5,9 @@ import pytest
 from conftest import DATA, TABLES
 
 import __spark_entry__ as contract
+from socialog.plans.catalog import catalog
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = ({n: getattr(q, part) for n, q in catalog().items()} for part in ("build", "sql"))
 
 
 @pytest.fixture(scope="module")
