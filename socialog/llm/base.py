@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies, on every executor alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

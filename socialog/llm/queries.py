@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialog.llm import fingerprints, langid, toxicity
-from socialog.llm.base import is_fold, table
+from socialog.llm import fingerprints, langid, packing, simhash, substrings, toxicity
+from socialog.llm.base import is_fold, table, tokenizer_path
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,22 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs, with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -39,6 +55,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op5_packing": op5_packing,
+    "op6_substrings": op6_substrings,
+    "op8_simhash": op8_simhash,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {}
