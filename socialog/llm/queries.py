@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialog.llm import fingerprints, langid, packing, simhash, substrings, toxicity
+from socialog.llm import fingerprints, html, langid, lines, packing, simhash, substrings, toxicity
 from socialog.llm.base import is_fold, table, tokenizer_path
 
 
@@ -32,6 +32,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extracted(pages).select("page_id", "url", "text", F.length("text").alias("n_chars"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, tokenizer_path("byte_bpe_50k.json")))
@@ -44,6 +49,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
@@ -55,8 +64,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op4_html": op4_html,
     "op5_packing": op5_packing,
     "op6_substrings": op6_substrings,
+    "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
     "op10_fingerprints": op10_fingerprints,
 }
