@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialog.llm import fingerprints, html, langid, lines, packing, simhash, substrings, toxicity
+from socialog.llm import fingerprints, html, langid, lines, neighbours, packing, simhash, substrings, toxicity
 from socialog.llm.base import is_fold, table, tokenizer_path
 
 
@@ -32,6 +32,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extracted(pages).select("page_id", "url", "text", F.length("text").alias("n_chars"))
@@ -64,6 +69,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op3_neighbours": op3_neighbours,
     "op4_html": op4_html,
     "op5_packing": op5_packing,
     "op6_substrings": op6_substrings,
