@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialog.llm import fingerprints, html, langid, lines, neighbours, packing, simhash, substrings, toxicity
+from socialog.llm import fingerprints, html, langid, lines, neighbours, packing, pieces, simhash, substrings, toxicity
 from socialog.llm.base import is_fold, table, tokenizer_path
 
 
@@ -62,6 +62,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.decode(pieces.encode(docs, model), model).select(
+        "doc_id",
+        F.size("ids").alias("n_ids"),
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -75,6 +86,7 @@ QUERIES = {
     "op6_substrings": op6_substrings,
     "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
+    "op9_pieces": op9_pieces,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLE: dict[str, str] = {}
