@@ -31,11 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialog.llm.base import free_name
 from socialog.llm.components import components
 from socialog.session import written
 
@@ -244,21 +243,58 @@ def links(prints: DataFrame) -> DataFrame:
     )
 
 
-def grouped(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def roots_of(prints: DataFrame) -> DataFrame:
+    """(print, root): the least fingerprint reachable from each."""
+    roots = components(links(prints)).select(F.col("node").alias("print"), "root")
+    return (
+        prints.select("print")
+        .distinct()
+        .join(roots, "print", "left")
+        .withColumn("root", F.coalesce("root", "print"))
+    )
+
+
+def grouped(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (smallest id reachable) of every row."""
     prints = written(
-        with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "print", shingle=shingle).select(
-            "doc_id", "print"
-        ),
+        with_fingerprint(docs.select("doc_id", text), "print", text, shingle).select("doc_id", "print"),
         "fingerprints",
     )
-    roots = components(links(prints))
     least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    placed = least.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
-    )
+    placed = least.join(roots_of(prints), "print")
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = placed.join(ids, "root").select("print", "component_id")
     return prints.join(of_print, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
+    """The row with the smallest id (then text hash) of each group, all columns as they are.
+
+    Rows with equal id and text are one. NULL ids stand behind all others.
+    """
+    place = [
+        F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
+        F.xxhash64(docs["doc_id"], docs[text]).alias("_mark"),
+    ]
+    prints = written(
+        with_fingerprint(docs.select(*place, docs[text].alias("_text")), "print", "_text", shingle).select(
+            "_id", "_mark", "print"
+        ),
+        "fingerprints",
+    )
+    first = Window.partitionBy("root").orderBy("_id", "_mark")
+    chosen = (
+        prints.join(roots_of(prints), "print")
+        .withColumn("_at", F.row_number().over(first))
+        .filter("_at = 1")
+        .select("_id", "_mark")
+    )
+    hold = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    kept = docs.select(*place, hold).join(chosen, ["_id", "_mark"], "left_semi")
+    return (
+        kept.groupBy("_id", "_mark")
+        .agg(F.first("_row").alias("_row"))
+        .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    )

@@ -22,6 +22,7 @@ of each other. NULL ids are kept. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 from socialog.llm.base import free_name
 from socialog.session import written
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 CACHED = 300_000  # words whose hashes a task keeps at hand
 PLACES = T.ArrayType(
     T.StructType([T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())])
@@ -226,6 +228,14 @@ def _runs(window: int, level: int):
     return run
 
 
+def _left_of(text: bytes, gone: np.ndarray) -> str:
+    """Kept words, each with the blanks that followed it."""
+    starts = [m.start() for m in WORD.finditer(text)]
+    ends = [*starts[1:], len(text)]
+    kept = [text[a:b] for a, b, g in zip(starts, ends, gone.tolist(), strict=True) if not g]
+    return b"".join(kept).rstrip().decode("utf-8", "replace")
+
+
 def _kept(window: int, level: int, with_text: bool):
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         known, opened = Hashes(), unpacked()
@@ -243,7 +253,7 @@ def _kept(window: int, level: int, with_text: bool):
                     np.add.at(covered, starts + window, -1)
                 gone = np.cumsum(covered)[: len(words)] > 0
                 kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
-                text = kept.decode("utf-8", "replace") if with_text and gone.any() else None
+                text = _left_of(opened(blob), gone) if with_text and gone.any() else None
                 out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), text))
             yield pd.DataFrame(out, columns=LAST.names)
 
@@ -268,9 +278,9 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text", with_
     """Remove every word that a repeated window covers.
 
     Adds ``n_words``, ``n_removed`` and ``kept_sha256`` (of the kept words joined by
-    one space). With ``with_text`` the text of a document that lost words becomes
-    its kept words joined by one space, others stay as they are; without, the text
-    is dropped. Input columns named like the added ones are replaced.
+    one space). With ``with_text`` a document that lost words keeps the others with
+    the blanks that followed them, other texts stay as they are; without, the text is
+    dropped. Input columns named like the added ones are replaced.
     """
     *pruning, last = levels_of(window)
     names = [c for c in docs.columns if c != text]
