@@ -1,6 +1,7 @@
 """Best-fit packing of token sequences, planned on lengths.
 
-Texts are tokenised once; each piece leaves its length and a check sum. The plan
+Texts are tokenised once, their different words once for some thousand texts; each
+piece leaves its length and a check sum. The plan
 sees nothing but how many pieces there are of each length: best fit, longest
 first, runs over these counts (at most one count for each length up to the
 capacity) and says how many sequences hold which lengths. Each piece then takes
@@ -19,39 +20,59 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from socialog.llm.base import LONG_TEXT
 from socialog.session import written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-BATCH = 64  # texts a tokenizer call takes
+BATCH = 64  # runs of words a tokenizer call takes
+TOGETHER = 512  # words in a run
+TEXTS = 4000  # texts whose words are encoded together
+# Byte-level pre-tokenisation starts a new word at a space before a letter, always;
+# letters are named that every version of Unicode knows.
+WORDS = re.compile("(?= [A-Za-zÀ-ÖØ-öø-ɏ])")
 
 
-def cut_text(text: str, most: int = LONG_TEXT) -> list[str]:
-    """Parts of a very long text that tokenise as they do within it.
+def _encoded(tokenizer, width: np.ndarray, texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text; words that are alike are encoded once.
 
-    Cuts lie before a single space between two letters, where byte-level
-    pre-tokenisation always starts a new word.
+    ``width`` holds the bytes of each id. Words that start with a space and a letter
+    are encoded many at a time, one after the other, and told apart by their bytes.
     """
-    parts, start = [], 0
-    while len(text) - start > most:
-        at = start + most
-        while at < len(text) - 1 and not (
-            text[at] == " " and text[at - 1].isalpha() and text[at + 1].isalpha()
-        ):
-            at += 1
-        if at >= len(text) - 1:
-            break
-        parts.append(text[start:at])
-        start = at
-    return [*parts, text[start:]]
+    known: dict[str, int] = {}
+    rows = [[known.setdefault(w, len(known)) for w in WORDS.split(t)] for t in texts]
+    words = list(known)
+    flat: list[np.ndarray] = []
+    start, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    total = 0
+    apart = np.array([WORDS.match(w) is not None for w in words], bool)
+    runs = [[i] for i in np.flatnonzero(~apart)]
+    joined = np.flatnonzero(apart)
+    runs += [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
+    for at in range(0, len(runs), BATCH):
+        some = runs[at : at + BATCH]
+        lines = ["".join([words[i] for i in run]) for run in some]
+        for run, found in zip(some, tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint32)
+            sizes = np.fromiter((len(words[i].encode()) for i in run), np.int64, len(run))
+            ends = np.searchsorted(np.cumsum(width[ids]), np.cumsum(sizes), side="right")
+            number[run] = np.diff(ends, prepend=0)
+            start[run] = total + ends - number[run]
+            total += len(ids)
+            flat.append(ids)
+    ids = np.concatenate([np.zeros(0, np.uint32), *flat]).astype("<u4")
+    for row in rows:
+        at = np.array(row, np.int64)
+        n = number[at]
+        yield ids[np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 def _tokenised(path: str, capacity: int, end: int):
@@ -61,20 +82,16 @@ def _tokenised(path: str, capacity: int, end: int):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        def encoded(texts: list[str]) -> Iterator[np.ndarray]:
-            parts = [cut_text(t) for t in texts]
-            flat = [p for own in parts for p in own]
-            done = iter(tokenizer.encode_batch_fast(flat, add_special_tokens=False))
-            for own in parts:
-                yield np.array([i for _ in own for i in next(done).ids] + [end], "<u4")
-
+        width = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, i in tokenizer.get_vocab().items():
+            width[i] = len(token)  # byte-level: a character for each byte
         for rows in batches:
             out = []
-            for at in range(0, len(rows), BATCH):
-                some = rows.iloc[at : at + BATCH]
-                ids_of = encoded([t or "" for t in some["text"]])
+            for at in range(0, len(rows), TEXTS):
+                some = rows.iloc[at : at + TEXTS]
+                ids_of = _encoded(tokenizer, width, [t or "" for t in some["text"]])
                 for doc_id, ids in zip(some["doc_id"], ids_of, strict=True):
+                    ids = np.append(ids, np.array([end], "<u4"))
                     n = len(ids)
                     first = (n - 1) % capacity + 1  # a shorter piece comes first
                     edges = [0, *range(first, n + 1, capacity)]
