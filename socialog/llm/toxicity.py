@@ -271,7 +271,8 @@ def _bound(toxic_docs: int, clean_docs: int) -> Column:
     """Lower confidence bound of the log odds under the Dirichlet prior."""
     prior = PRIOR * (F.col("toxic") + F.col("clean"))
     a, b = F.col("toxic") + prior, F.col("clean") + prior
-    total = PRIOR * (toxic_docs + clean_docs)
+    # One document more of each class, so that a word may be in all of them.
+    total = PRIOR * (toxic_docs + clean_docs) + 1
     odds = F.log(a / (toxic_docs + total - a)) - F.log(b / (clean_docs + total - b))
     return odds - SURE * F.sqrt(1 / a + 1 / b)
 
