@@ -48,6 +48,8 @@ class Model:
 
 
 def grams(word: str, n: int) -> list[str]:
+    if n == 1:
+        return list(word)
     padded = f" {word} "
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
