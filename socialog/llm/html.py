@@ -165,6 +165,7 @@ class Page:
         self.lines: list[str] = []
         self.now = ""
         self.gap = False  # a blank line is due before the next text
+        self.blank = 0  # blank lines of preformatted text that are due
         self.mark = ""  # of a list item that has no text yet
         self.indent = ""
 
@@ -173,6 +174,8 @@ class Page:
             first, *more = text.split("\n")
             self._put(first)
             for line in more:
+                if not self.now:
+                    self.blank += 1
                 self.end()
                 self._put(line)
             return
@@ -185,9 +188,9 @@ class Page:
         if not text:
             return
         if not self.now:
-            if self.gap and self.lines:
-                self.lines.append("")
-            self.gap = False
+            if self.lines:
+                self.lines += [""] * max(int(self.gap), self.blank)
+            self.gap, self.blank = False, 0
             self.now = self.indent + self.mark
             self.indent += " " * len(self.mark)
             self.mark = ""
@@ -244,7 +247,7 @@ def rendered(root: Node) -> str:
             if name == "table":
                 for line in grid(tables.pop()):
                     page.end()
-                    page.add(line, True)
+                    page.add(line or "\n", True)
             elif name in ("ul", "ol", "li", "blockquote"):
                 if name in ("ul", "ol"):
                     lists.pop()
