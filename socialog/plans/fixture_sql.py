@@ -65,7 +65,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                '0x' || md5('c:' || conv_id || ':' || turn) AS cast_hash,
                '0x' || md5('c:' || conv_id || ':' || (turn - 1)) AS parent_hash,
                94608000 + conv_id * 3600 + turn * 60 AS made_at
-        FROM conversations JOIN pages ON page_id = conv_id % 50""",
+        FROM conversations
+        LEFT JOIN pages ON page_id = conv_id % (SELECT count(*) FROM pages)""",
     ),
     "casts": (
         ("turns",),

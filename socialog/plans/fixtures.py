@@ -21,7 +21,6 @@ FIRST_CAST = 94_608_000  # protocol second of 2024-01-01
 NOW = 1_704_067_200  # Unix second of 2024-01-01, "now" of the tier test
 FIELDS = ("Username", "Display", "Location", "Pfp", "Bio", "Twitter", "Url")
 ALLOWED_FIDS = (1, 2, 3, 5, 8)
-PAGES = 50  # casts refer to the first pages only
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,18 +109,13 @@ def derive_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns with the page each refers to."""
-    pages = (
-        table(spark, sf_dir, "pages")
-        .filter(F.col("page_id").between(0, PAGES - 1))
-        .groupBy(F.col("page_id").alias("_page"))
-        .agg(F.min("url").alias("url"))
-    )
+    """Conversation turns with the page each refers to; all pages are referred to in turn."""
+    pages = table(spark, sf_dir, "pages")
+    urls = pages.groupBy(F.col("page_id").alias("_page")).agg(F.min("url").alias("url"))
     turns = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", "text", (F.col("conv_id") % PAGES).alias("_page")
+        "conv_id", "turn", "text", (F.col("conv_id") % max(pages.count(), 1)).alias("_page")
     )
-    # At most PAGES rows whatever the scale.
-    return turns.join(F.broadcast(pages), "_page").select("conv_id", "turn", "text", "url")
+    return turns.join(urls, "_page", "left").select("conv_id", "turn", "text", "url")
 
 
 def _cast_hash(turn: Column) -> Column:
