@@ -13,6 +13,7 @@ from socialog.sources import tables
 
 FID = 3
 ROOT_HASH = "0x" + md5(b"c:0:0").hexdigest()  # first cast of conversation 0, by user 0
+LIVE_HASH = "0x" + md5(b"c:1:0").hexdigest()  # first cast of conversation 1, by user 1
 ROOT_REF = f"0:{ROOT_HASH}"
 REACTED_HASH = "0x" + md5(b"c:16:0").hexdigest()  # cast of user 1
 REACTED_REF = f"1:{REACTED_HASH}"
@@ -73,10 +74,16 @@ def _(spark, sf):
 
 
 @query(
-    "cast_by_id", f"SELECT * FROM casts WHERE Fid = 0 AND Hash = '{ROOT_HASH}'", ("casts",)
+    "cast_by_id",
+    f"""SELECT * FROM live_casts WHERE (Fid = 1 AND Hash = '{LIVE_HASH}')
+        OR (Fid = 0 AND Hash = '{ROOT_HASH}')""",
+    ("live_casts",),
 )
 def _(spark, sf):
-    return lookup.cast_by_id(fx.casts(spark, sf), 0, ROOT_HASH)
+    """A cast that is live, and one that was removed and gives no row."""
+    casts = _casts(spark, sf)
+    found = lookup.cast_by_id(casts, 1, LIVE_HASH)
+    return found.unionByName(lookup.cast_by_id(casts, 0, ROOT_HASH))
 
 
 @query(
