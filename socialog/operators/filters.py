@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from socialog.functions.clock import DAY, EPOCH, to_millis
 
-MAX_LISTED = 10_000
 FUTURE_SLACK = DAY
 
 
@@ -56,8 +55,8 @@ def of_fids(
 ) -> DataFrame:
     """Rows of the listed users; an empty list keeps everything.
 
-    A short list becomes an IN set; a long one or a DataFrame becomes a semi
-    join whose strategy Spark picks from the measured size.
+    A list becomes an IN set of any length; a table becomes a semi join whose
+    strategy Spark picks from the measured size.
     """
     key = F.col(column) if isinstance(column, str) else column
     if isinstance(allowed, DataFrame):
@@ -66,12 +65,7 @@ def of_fids(
         listed = allowed.select(F.col(allowed.columns[0]).alias("_allowed"))
         return df.join(listed, key == F.col("_allowed"), "left_semi")
     fids = sorted(set(allowed))
-    if not fids:
-        return df
-    if len(fids) <= MAX_LISTED:
-        return df.filter(key.isin(fids))
-    listed = df.sparkSession.createDataFrame([(f,) for f in fids], "_allowed bigint")
-    return df.join(listed, key == F.col("_allowed"), "left_semi")
+    return df.filter(key.isin(fids)) if fids else df
 
 
 def merged_messages(events: DataFrame) -> DataFrame:
