@@ -118,32 +118,25 @@ def call_statistics(calls: DataFrame) -> DataFrame:
     )
 
 
-def count_map(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows per value of ``key`` as one map; for keys with few values.
-
-    Rows are counted per value first, so the list that becomes the map holds
-    one entry per value.
-    """
-    counts = (
+def key_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, n): rows per value of ``key``, blank keys left out."""
+    return (
         df.filter(F.col(key).isNotNull() & (F.col(key) != ""))
         .groupBy(key)
         .agg(_rows().alias("n"))
     )
-    return counts.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name)
-    )
 
 
 def errors_by_type(calls: DataFrame) -> DataFrame:
-    return count_map(calls.filter(~F.col("ok")), "error_type", "errors_by_type")
+    return key_rows(calls.filter(~F.col("ok")), "error_type")
 
 
 def calls_by_context(calls: DataFrame) -> DataFrame:
-    return count_map(calls, "context", "calls_by_context")
+    return key_rows(calls, "context")
 
 
 def event_counts(events: DataFrame) -> DataFrame:
-    return count_map(events, "type", "event_counts_by_type")
+    return key_rows(events, "type")
 
 
 def percentile_disc(df: DataFrame, column: str, q: float, accuracy: int = 10_000) -> float | None:
@@ -225,7 +218,9 @@ def rolling_p99(
     of a chunk are repeated at the head of the next, so a hot group runs as many
     tasks and every row still sees its whole window. A window function would
     rebuild and sort ``window`` values for each row; numpy selects them in place.
+    Rows without a value are left out, as in ``percentile_disc``.
     """
+    calls = calls.filter(F.col(value).isNotNull())
     chunk = max(chunk, window)
     numbered = group_index(calls, [group], *order, name="_n")
     here = F.floor(F.col("_n") / chunk)

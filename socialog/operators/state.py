@@ -50,10 +50,12 @@ def live_ranked(log: DataFrame, key: tuple[str, ...], add: str, remove: str) ->
 
     Spark keeps only the best rank of each key per map task before the shuffle
     (WindowGroupLimit). Prefer it where no key has very many rows at one second.
+    Rows with a NULL in their key match nothing and are left out, as in ``live``.
     """
     newest_first = Window.partitionBy(*key).orderBy(F.col("Timestamp").desc())
     return (
         log.filter(F.col("MessageType").isin(add, remove))
+        .dropna(subset=list(key))
         .withColumn("_rank", F.rank().over(newest_first))
         .filter((F.col("_rank") == 1) & (F.col("MessageType") == add))
         .drop("_rank")

@@ -9,13 +9,6 @@ from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
 
 
-def _map_text(column: str):
-    pairs = F.transform(
-        F.map_entries(column), lambda e: F.concat_ws("=", e["key"], e["value"])
-    )
-    return F.array_join(F.array_sort(pairs), ",").alias(column)
-
-
 def _rounded(df, *columns: str):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -96,32 +89,29 @@ def _(spark, sf):
 
 @query(
     "errors_by_type",
-    """SELECT string_agg(error_type || '=' || n, ',' ORDER BY error_type) AS errors_by_type
-       FROM (SELECT error_type, count(*) AS n FROM calls WHERE NOT ok GROUP BY 1)""",
+    "SELECT error_type, count(*) AS n FROM calls WHERE NOT ok GROUP BY 1",
     ("calls",),
 )
 def _(spark, sf):
-    return op.errors_by_type(fx.calls(spark, sf)).select(_map_text("errors_by_type"))
+    return op.errors_by_type(fx.calls(spark, sf))
 
 
 @query(
     "calls_by_context",
-    """SELECT string_agg(context || '=' || n, ',' ORDER BY context) AS calls_by_context
-       FROM (SELECT context, count(*) AS n FROM calls GROUP BY 1)""",
+    "SELECT context, count(*) AS n FROM calls GROUP BY 1",
     ("calls",),
 )
 def _(spark, sf):
-    return op.calls_by_context(fx.calls(spark, sf)).select(_map_text("calls_by_context"))
+    return op.calls_by_context(fx.calls(spark, sf))
 
 
 @query(
     "event_counts_by_type",
-    """SELECT string_agg(type || '=' || n, ',' ORDER BY type) AS event_counts_by_type
-       FROM (SELECT type, count(*) AS n FROM stream_events GROUP BY 1)""",
+    "SELECT type, count(*) AS n FROM stream_events GROUP BY 1",
     ("stream_events",),
 )
 def _(spark, sf):
-    return op.event_counts(fx.events(spark, sf)).select(_map_text("event_counts_by_type"))
+    return op.event_counts(fx.events(spark, sf))
 
 
 @query(

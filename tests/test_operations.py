@@ -95,9 +95,9 @@ def test_sweep_summary_counts_failures(spark):
     assert op.sweep_summary(log, 10, 1).first()["failed_fids"] == 0
 
 
-def test_count_map_leaves_out_blank_keys(spark):
+def test_key_rows_leave_out_blank_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("",), (None,), ("b",)], "k string")
-    assert op.count_map(df, "k", "m").first()["m"] == {"a": 2, "b": 1}
+    assert dict(op.key_rows(df, "k").collect()) == {"a": 2, "b": 1}
 
 
 def test_statistics_of_nothing_are_zero(spark):
