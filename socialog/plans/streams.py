@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from socialog.operators import filters
 from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
 from socialog.plans.tables import NORMALIZED, normalized_texts
@@ -20,6 +19,15 @@ def event_files(spark, sf, files: int = 10) -> str:
     return folder
 
 
+def shuffled_files(spark, sf, files: int = 4, times: int = 1) -> str:
+    """The events as Parquet files that each hold events of all times."""
+    folder = new_path(spark, "events")
+    for _ in range(times):
+        rows = fx.events(spark, sf).repartition(files, F.xxhash64("id"))
+        rows.write.mode("append").parquet(folder)
+    return folder
+
+
 def _run(rows, spark, sink: str) -> None:
     """Stream ``rows`` over all files there are into ``sink``."""
     (
@@ -159,14 +167,11 @@ def _(spark, sf):
     ("stream_events",),
 )
 def _(spark, sf):
-    """The same counts from the stream; a late marker event closes the last windows."""
-    source, sink = event_files(spark, sf), new_path(spark, "seconds")
-    merged = filters.merged_messages(fx.events(spark, sf))
-    marker = merged.orderBy(F.col("id").desc()).limit(1)
-    marker.withColumn("timestamp", F.col("timestamp") + 3600).write.mode("append").parquet(source)
-    counted = delivery.counts_per_second(delivery.file_events(spark, source))
-    _run(counted.withColumn("second", F.unix_seconds("second")), spark, sink)
-    return spark.read.schema("second bigint, message_type string, n bigint").parquet(sink)
+    """The same counts from batches of shuffled files, in which most events are late."""
+    source, sink = shuffled_files(spark, sf), new_path(spark, "seconds")
+    events = delivery.file_events(spark, source, max_files=1)
+    delivery.deliver_counts(events, sink, new_path(spark, "position")).awaitTermination()
+    return delivery.read_counts(spark, sink).withColumn("second", F.unix_seconds("second"))
 
 
 @query(
@@ -175,9 +180,8 @@ def _(spark, sf):
     ("stream_events",),
 )
 def _(spark, sf):
-    """Every file is delivered twice; each event passes once."""
-    source, sink = event_files(spark, sf), new_path(spark, "once")
-    fx.events(spark, sf).repartitionByRange(10, "id").write.mode("append").parquet(source)
-    events = delivery.once_each(delivery.file_events(spark, source, max_files=100))
+    """Shuffled files, one a batch, each delivered twice; each event passes once."""
+    source, sink = shuffled_files(spark, sf, times=2), new_path(spark, "once")
+    events = delivery.once_each(delivery.file_events(spark, source, max_files=1))
     _run(events.select("id", "type", "timestamp"), spark, sink)
     return spark.read.schema("id bigint, type string, timestamp bigint").parquet(sink)

@@ -158,30 +158,54 @@ def from_queue_rows(rows: DataFrame) -> DataFrame:
 
 
 def once_each(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop redelivered events within ``delay`` of their first delivery."""
+    """Drop events redelivered within ``delay`` of their first delivery.
+
+    The clock is the time of arrival (that of the batch), so an event is never
+    late: every first delivery passes, however old the event is.
+    """
     return (
-        events.withColumn("_at", clock.to_timestamp(F.col("timestamp")))
+        events.withColumn("_at", F.current_timestamp())
         .withWatermark("_at", delay)
         .dropDuplicatesWithinWatermark(["id"])
         .drop("_at")
     )
 
 
-def counts_per_second(events: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """Merged messages per second and type; the same on a stream or a batch."""
+def counts_per_second(events: DataFrame) -> DataFrame:
+    """Merged messages per second and type."""
     return (
         filters.merged_messages(events)
         .select(
-            clock.to_timestamp(F.col("timestamp")).alias("_at"),
+            clock.to_timestamp(F.col("timestamp")).alias("second"),
             F.col("merge_message_body.message.data.type").alias("message_type"),
         )
-        .withWatermark("_at", delay)
-        .groupBy(F.window("_at", "1 second").alias("_window"), "message_type")
+        .groupBy("second", "message_type")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("_window.start").alias("second"), "message_type", "n")
     )
 
 
+def deliver_counts(
+    events: DataFrame, target: str, position: str, every_ms: int | None = None
+) -> StreamingQuery:
+    """Counts per second of each batch below ``target``; ``read_counts`` adds them up.
+
+    No state and no watermark: late events count like all others and the newest
+    second is there at once. A repeated batch replaces its own folder.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        counts_per_second(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", position)
+    return _trigger(writer, every_ms).start()
+
+
+def read_counts(spark: SparkSession, target: str) -> DataFrame:
+    schema = "second timestamp, message_type string, n bigint"
+    parts = spark.read.schema(schema).parquet(f"{target}/batch=*")
+    return parts.groupBy("second", "message_type").agg(F.sum("n").alias("n"))
+
+
 def watched(rows: DataFrame, name: str = "delivery") -> DataFrame:
     """Attach running statistics: read them from ``query.lastProgress``."""
     return rows.observe(

@@ -108,7 +108,7 @@ def test_redelivered_events_pass_once(spark, tmp_path):
     options = {"path": sink, "checkpointLocation": str(tmp_path / "p")}
 
     def run():
-        rows = delivery.once_each(delivery.file_events(spark, folder), "400 days").select("id")
+        rows = delivery.once_each(delivery.file_events(spark, folder, max_files=1)).select("id")
         rows.writeStream.format("parquet").options(**options).trigger(
             availableNow=True
         ).start().awaitTermination()
