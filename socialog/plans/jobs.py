@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from socialog.operators import filters, normalize, state
+from socialog.session import sized_shuffles
 from socialog.sources import schemas, sinks, tables
 from socialog.streaming import delivery
 
@@ -30,9 +31,11 @@ def wanted_messages(
     """Messages of one kind, not from the future, of one user or of the last days if asked.
 
     All bounds are on plain nested columns, so they reach the scan; a message
-    without a time passes the time filters.
+    without a time passes the time filters. A message without data is of no kind and
+    is kept, as ``Unknown``, by a run over all users.
     """
-    kept = filters.of_types(messages, schemas.MESSAGE_TYPES[kind], "data.type")
+    types = schemas.MESSAGE_TYPES[kind]
+    kept = messages.filter(F.col("data.type").isin(*types) | F.col("data").isNull())
     at = F.col("data.timestamp")
     kept = kept.filter(at.isNull() | (at <= filters.latest_allowed(now)))
     if days is not None:
@@ -67,8 +70,9 @@ def write_log(
 
 
 def export_state(spark: SparkSession, root: str, kind: str, target: str) -> None:
-    """Current-state table of one kind as ZSTD Parquet."""
-    sinks.export_zstd(STATE[kind](tables.scan_kind(spark, root, kind)), target)
+    """Current-state table of one kind as ZSTD Parquet, its shuffles sized by the log."""
+    with sized_shuffles(spark, f"{root}/{kind}/{kind}_messages"):
+        sinks.export_zstd(STATE[kind](tables.scan_kind(spark, root, kind)), target)
 
 
 def export_pro_members(

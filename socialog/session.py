@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,7 +55,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="socialog-")
+    """A folder of this process in local mode; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="socialog-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -78,6 +85,16 @@ def size_shuffles(spark: SparkSession, *folders: str, part_bytes: int = PART_BYT
     return parts
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, *folders: str) -> Iterator[int]:
+    """``size_shuffles`` for the length of a run; the setting is put back after it."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(spark, *folders)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 

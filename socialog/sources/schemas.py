@@ -46,7 +46,7 @@ FLAT = {"casts": CASTS, "reactions": REACTIONS, "links": LINKS, "profiles": PROF
 MESSAGE_TYPES = {
     "casts": ("CastAdd", "CastRemove"),
     "reactions": ("ReactionAdd", "ReactionRemove"),
-    "links": ("LinkAdd", "LinkRemove"),
+    "links": ("LinkAdd", "LinkRemove", "LinkCompactState"),
     "profiles": ("UserDataAdd",),
 }
 
