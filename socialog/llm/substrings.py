@@ -266,7 +266,9 @@ def _kept(window: int, level: int, with_text: bool):
 
 def _repeated_places(places: DataFrame) -> DataFrame:
     """Places (as an array per document) of hashes that occur more than once."""
-    repeated = places.groupBy("h").count().filter("count > 1").select("h")
+    places = written(places, "stand-ins")
+    # Written, so that both sides of the join are plain shuffles and a hot hash can be split.
+    repeated = written(places.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     return (
         places.join(repeated, "h", "left_semi")
         .groupBy("_id", "_mark")
