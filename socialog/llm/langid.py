@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialog.llm.base import LETTERS, per_text, with_fields, words_of
+from socialog.llm.base import LETTERS, per_text, tidy, with_fields, words_of
 
 UNKNOWN = "und"
-CACHED = 200_000  # words whose scores a task keeps at hand
+CACHED = 150_000  # words whose scores a task keeps at hand
 RESULT = T.StructType(
     [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 )
@@ -96,7 +96,7 @@ def learn(
     rows = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).filter(F.col("text").isNotNull())
     counts = (
         rows.select("lang", "text")
-        .mapInPandas(_counted(longest), COUNTS)
+        .mapInPandas(tidy(_counted(longest)), COUNTS)
         .groupBy("lang", "n", "feature")
         .agg(F.sum("seen").alias("seen"))
     )

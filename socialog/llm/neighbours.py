@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from socialog.llm.base import tidy
 from socialog.session import written
 
 DIMENSIONS = 8
@@ -173,7 +174,7 @@ def _udf(make, returned, inputs: int = 1):
 
     run, kind = (one, pd.Series) if inputs == 1 else (two, tuple[pd.Series, pd.Series])
     run.__annotations__ = {"batches": Iterator[kind], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, returned)
+    return F.pandas_udf(tidy(run), returned)
 
 
 def search(

@@ -1,6 +1,6 @@
 """Best-fit packing of token sequences, planned on lengths.
 
-Texts are tokenised once, their different words once for some thousand texts; each
+Texts are tokenised once, words that keep coming once for many texts; each
 piece leaves its length and a check sum. The plan
 sees nothing but how many pieces there are of each length: best fit, longest
 first, runs over these counts (at most one count for each length up to the
@@ -20,59 +20,76 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from socialog.llm.base import Known, tidy
 from socialog.session import written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-BATCH = 64  # runs of words a tokenizer call takes
-TOGETHER = 512  # words in a run
-TEXTS = 4000  # texts whose words are encoded together
-# Byte-level pre-tokenisation starts a new word at a space before a letter, always;
-# letters are named that every version of Unicode knows.
-WORDS = re.compile("(?= [A-Za-zÀ-ÖØ-öø-ɏ])")
+TOGETHER = 512  # words a tokenizer call takes
+VISIBLE = frozenset(c for c in map(chr, range(0x21, 0x1680)) if c.isprintable() and not c.isspace())
+TEXTS = 1000  # texts whose ids are held at a time
+
+
+def _glued(parts: list[str], row: list[int]) -> list[str]:
+    """Parts that can't stand alone go to the one before, with their space."""
+    out = parts[:1]
+    for part, number in zip(parts[1:], row, strict=True):
+        if number < 0:
+            out[-1] += f" {part}"
+        else:
+            out.append(part)
+    return out
 
 
-def _encoded(tokenizer, width: np.ndarray, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each text; words that are alike are encoded once.
+def encoder(tokenizer):
+    """Ids of each of some texts; words that are alike are encoded once.
 
-    ``width`` holds the bytes of each id. Words that start with a space and a letter
-    are encoded many at a time, one after the other, and told apart by their bytes.
+    Byte-level pre-tokenisation starts a new word at a space before a visible
+    character, whatever stands before it. So words cut there are encoded many at a
+    time, one after the other, and told apart by their bytes.
     """
-    known: dict[str, int] = {}
-    rows = [[known.setdefault(w, len(known)) for w in WORDS.split(t)] for t in texts]
-    words = list(known)
-    flat: list[np.ndarray] = []
-    start, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-    total = 0
-    apart = np.array([WORDS.match(w) is not None for w in words], bool)
-    runs = [[i] for i in np.flatnonzero(~apart)]
-    joined = np.flatnonzero(apart)
-    runs += [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
-    for at in range(0, len(runs), BATCH):
-        some = runs[at : at + BATCH]
-        lines = ["".join([words[i] for i in run]) for run in some]
-        for run, found in zip(some, tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.uint32)
-            sizes = np.fromiter((len(words[i].encode()) for i in run), np.int64, len(run))
+    width = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        width[i] = len(token)  # byte-level: a character for each byte
+
+    def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            (found,) = tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, np.int64)
+            sizes = np.fromiter((len(w.encode()) + 1 for w in some), np.int64, len(some))
             ends = np.searchsorted(np.cumsum(width[ids]), np.cumsum(sizes), side="right")
-            number[run] = np.diff(ends, prepend=0)
-            start[run] = total + ends - number[run]
-            total += len(ids)
             flat.append(ids)
-    ids = np.concatenate([np.zeros(0, np.uint32), *flat]).astype("<u4")
-    for row in rows:
-        at = np.array(row, np.int64)
-        n = number[at]
-        yield ids[np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            counts.append(np.diff(ends, prepend=0))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    known = Known(spelled, lambda word: word[:1] not in VISIBLE)
+
+    def encoded(texts: list[str]) -> Iterator[np.ndarray]:
+        known.forget()
+        firsts, rows = [], []
+        for text in texts:
+            parts = text.split(" ")
+            row = known.numbers(parts[1:])
+            if (row < 0).any():
+                parts = _glued(parts, row.tolist())
+                row = known.numbers(parts[1:])
+            firsts.append(parts[0])
+            rows.append(row)
+        known.learn()
+        heads = tokenizer.encode_batch_fast(firsts, add_special_tokens=False)
+        for head, row in zip(heads, rows, strict=True):
+            yield np.concatenate([np.array(head.ids, "<u4"), known.ids_of(row).astype("<u4")])
+
+    return encoded
 
 
 def _tokenised(path: str, capacity: int, end: int):
@@ -82,15 +99,13 @@ def _tokenised(path: str, capacity: int, end: int):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        width = np.zeros(tokenizer.get_vocab_size(), np.int64)
-        for token, i in tokenizer.get_vocab().items():
-            width[i] = len(token)  # byte-level: a character for each byte
+        ids_of = encoder(tokenizer)
         for rows in batches:
             out = []
             for at in range(0, len(rows), TEXTS):
                 some = rows.iloc[at : at + TEXTS]
-                ids_of = _encoded(tokenizer, width, [t or "" for t in some["text"]])
-                for doc_id, ids in zip(some["doc_id"], ids_of, strict=True):
+                found = ids_of([t or "" for t in some["text"]])
+                for doc_id, ids in zip(some["doc_id"], found, strict=True):
                     ids = np.append(ids, np.array([end], "<u4"))
                     n = len(ids)
                     first = (n - 1) % capacity + 1  # a shorter piece comes first
@@ -107,7 +122,7 @@ def _tokenised(path: str, capacity: int, end: int):
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every document, end mark included."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(_tokenised(tokenizer, capacity, end), PIECES)
+    return rows.mapInPandas(tidy(_tokenised(tokenizer, capacity, end)), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from socialog.llm.base import tidy
 from socialog.llm.components import components
 from socialog.session import written
 
@@ -73,7 +74,7 @@ def with_fingerprint(docs: DataFrame, name: str, text: str = "text", shingle: in
             yield pd.Series(found.astype(np.int64))
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.withColumn(name, F.pandas_udf(run, T.LongType())(docs[text].cast("string")))
+    return docs.withColumn(name, F.pandas_udf(tidy(run), T.LongType())(docs[text].cast("string")))
 
 
 def decoder() -> np.ndarray:
@@ -236,10 +237,10 @@ def links(prints: DataFrame) -> DataFrame:
     return (
         prints.select("print")
         .distinct()
-        .mapInPandas(_keyed, "key long, print long")
+        .mapInPandas(tidy(_keyed), "key long, print long")
         .repartition(F.shiftright("key", 1))
         .sortWithinPartitions("key")
-        .mapInPandas(_linked, "a long, b long")
+        .mapInPandas(tidy(_linked), "a long, b long")
     )
 
 

@@ -34,19 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialog.llm.base import free_name
+from socialog.llm.base import free_name, tidy
 from socialog.session import written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-CACHED = 300_000  # words whose hashes a task keeps at hand
-PLACES = T.ArrayType(
-    T.StructType([T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())])
+CACHED = 100_000  # words whose hashes a task keeps at hand
+PLACES = T.StructType(
+    [T.StructField("h", T.ArrayType(T.LongType())), T.StructField("at", T.ArrayType(T.IntegerType()))]
 )
 FIRST = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
         T.StructField("kept_sha256", T.StringType()),
-        T.StructField("stand_ins", PLACES),
+        *PLACES.fields,
     ]
 )
 LAST = T.StructType(
@@ -149,7 +149,7 @@ def packed_text(text: Column) -> Column:
             yield pd.Series([press.compress((t or "").encode("utf-8", "replace")) for t in texts])
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, T.BinaryType())(text)
+    return F.pandas_udf(tidy(run), T.BinaryType())(text)
 
 
 def unpacked() -> object:
@@ -157,22 +157,22 @@ def unpacked() -> object:
     return lambda blob: opened.decompress(blob) if blob is not None else b""
 
 
-def _pairs(hashes: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-    return list(zip(hashes[at].view(np.int64).tolist(), at.tolist(), strict=True))
+def _pairs(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes[at].view(np.int64), at.astype(np.int32)
 
 
 def _first_places(window: int):
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known, level = Hashes(), levels_of(window)[0]
         for texts in batches:
             out = []
             for text in texts:
                 own = Levels(words_in((text or "").encode("utf-8", "replace")), window, known)
-                out.append(_pairs(own.at[level], own.places(level)) if own.n else [])
-            yield pd.Series(out)
+                out.append(_pairs(own.at[level], own.places(level)) if own.n else (None, None))
+            yield pd.DataFrame(out, columns=PLACES.names, dtype=object)
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, PLACES)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(tidy(run), PLACES)
 
 
 def _next_places(window: int, level: int, wider: int):
@@ -185,18 +185,18 @@ def _next_places(window: int, level: int, wider: int):
             for blob, at in zip(blobs, places, strict=True):
                 words = words_in(opened(blob))
                 if at is None:
-                    out.append((len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None))
+                    out.append((len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None, None))
                     continue
                 own = Levels(words, window, known)
                 left = own.left(level, np.asarray(at))
-                out.append((len(words), None, _pairs(own.at[wider], own.places(wider, left))))
+                out.append((len(words), None, *_pairs(own.at[wider], own.places(wider, left))))
             yield pd.DataFrame(out, columns=FIRST.names)
 
     run.__annotations__ = {
         "batches": Iterator[tuple[pd.Series, pd.Series]],
         "return": Iterator[pd.DataFrame],
     }
-    return F.pandas_udf(run, FIRST)
+    return F.pandas_udf(tidy(run), FIRST)
 
 
 def _runs(window: int, level: int):
@@ -229,7 +229,9 @@ def _runs(window: int, level: int):
 
 
 def _left_of(text: bytes, gone: np.ndarray) -> str:
-    """Kept words, each with the blanks that followed it."""
+    """Kept words, each with the blanks that followed it; a whole text as it is."""
+    if not gone.any():
+        return text.decode("utf-8", "replace")
     starts = [m.start() for m in WORD.finditer(text)]
     ends = [*starts[1:], len(text)]
     kept = [text[a:b] for a, b, g in zip(starts, ends, gone.tolist(), strict=True) if not g]
@@ -253,7 +255,7 @@ def _kept(window: int, level: int, with_text: bool):
                     np.add.at(covered, starts + window, -1)
                 gone = np.cumsum(covered)[: len(words)] > 0
                 kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
-                text = _left_of(opened(blob), gone) if with_text and gone.any() else None
+                text = _left_of(opened(blob), gone) if with_text else None
                 out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), text))
             yield pd.DataFrame(out, columns=LAST.names)
 
@@ -261,12 +263,13 @@ def _kept(window: int, level: int, with_text: bool):
         "batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]],
         "return": Iterator[pd.DataFrame],
     }
-    return F.pandas_udf(run, LAST)
+    return F.pandas_udf(tidy(run), LAST)
 
 
 def _repeated_places(places: DataFrame) -> DataFrame:
     """Places (as an array per document) of hashes that occur more than once."""
-    places = written(places, "stand-ins")
+    each = F.explode(F.arrays_zip("h", "at")).alias("p")
+    places = written(places.select("_id", "_mark", each).select("_id", "_mark", "p.*"), "stand-ins")
     # Written, so that both sides of the join are plain shuffles and a hot hash can be split.
     repeated = written(places.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     return (
@@ -297,8 +300,8 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text", with_
     if not pruning:
         raise ValueError("a window needs two words at least")
 
-    places = base.select("_id", "_mark", F.explode(_first_places(window)(F.col("_text"))).alias("p"))
-    found = _repeated_places(places.select("_id", "_mark", "p.h", "p.at"))
+    places = base.select("_id", "_mark", _first_places(window)(F.col("_text")).alias("p"))
+    found = _repeated_places(places.select("_id", "_mark", "p.*"))
     rows = base.withColumn("_blob", packed_text(F.col("_text")))
     known_null = F.col("_text").isNull().alias("_null")
     rows = rows.select("_id", "_mark", rest, "_blob", known_null)
@@ -317,12 +320,11 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text", with_
         )
         level = wider
     candidates = rows.filter("_candidate")
-    places = candidates.select("_id", "_mark", F.explode("stand_ins").alias("p"))
-    left = written(_repeated_places(places.select("_id", "_mark", "p.h", "p.at")), "places")
+    left = written(_repeated_places(candidates.select("_id", "_mark", "h", "at")), "places")
 
     texts = candidates.select("_id", "_mark", "_blob").join(left, ["_id", "_mark"])
     windows = (
-        texts.mapInPandas(_runs(window, level), RUNS)
+        texts.mapInPandas(tidy(_runs(window, level)), RUNS)
         .repartition("stand_in")
         .select("stand_in", "id", "mark", "at", "n", F.posexplode("hashes").alias("i", "h"))
     )
@@ -350,7 +352,7 @@ def without_repeats(docs: DataFrame, window: int = 35, text: str = "text", with_
         ),
         done.select(
             *carried,
-            *([F.coalesce("_end.kept", own_text).alias(text)] if with_text else []),
+            *([F.when(~F.col("_null"), F.col("_end.kept")).alias(text)] if with_text else []),
             *[F.col(f"_end.{c}").alias(c) for c in added],
         ),
     ]
@@ -364,4 +366,4 @@ def _text_of(blob: Column) -> Column:
             yield pd.Series([opened(b).decode("utf-8", "replace") for b in blobs], dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, T.StringType())(blob)
+    return F.pandas_udf(tidy(run), T.StringType())(blob)

@@ -24,7 +24,6 @@ same name; all others are kept.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,10 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialog.llm.base import LETTERS, per_text, with_fields, words_of
+from socialog.llm.base import LETTERS, per_text, tidy, with_fields, words_of
 from socialog.session import written
 
-CACHED = 500_000
+CACHED = 150_000
 PRIOR = 0.1  # weight of the prior against the counts
 SURE = 1.645  # standard errors below the log odds
 KNOWN = 5  # documents from which a word is judged by itself
@@ -221,7 +220,7 @@ def learn(
         return Model({}, {}, beginnings, drift, 1.0, 1.0, by_chance, at, 0.0)
 
     counts = (
-        sample.mapInPandas(_counted(beginnings), "n int, feature string, toxic long, clean long")
+        sample.mapInPandas(tidy(_counted(beginnings)), "n int, feature string, toxic long, clean long")
         .groupBy("n", "feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
@@ -252,7 +251,7 @@ def learn(
         dict(zip(starts["feature"], starts["bound"], strict=True)),
         beginnings, drift, 1.0, 1.0, by_chance, 0.0, 1.0,
     )
-    seen = sample.mapInPandas(_measured(rough), "toxic int, n long, best double, excess double").toPandas()
+    seen = sample.mapInPandas(tidy(_measured(rough)), "toxic int, n long, best double, excess double").toPandas()
     clean = seen[(seen["toxic"] == 0) & (seen["n"] > 0)]
     n_words = max(int(clean["n"].sum()), 1)
     scores = top["bound"].to_numpy()
@@ -260,7 +259,7 @@ def learn(
     decay = _decay(scores, rates, drift)
     scale = len(clean) / max(float((clean["n"] * np.exp(-decay * clean["best"])).sum()), 1e-300)
     fitted = Model(**(rough.__dict__ | {"decay": decay, "scale": max(scale, 1e-12)}))
-    seen = sample.mapInPandas(_measured(fitted), "toxic int, n long, best double, excess double").toPandas()
+    seen = sample.mapInPandas(tidy(_measured(fitted)), "toxic int, n long, best double, excess double").toPandas()
     x, y = np.log1p(seen["excess"].to_numpy()), seen["toxic"].to_numpy(dtype=float)
     weight = np.where(y == 1, share[1] / size[1], share[0] / size[0])
     intercept, slope = _logistic(x, y, weight / weight.mean())
