@@ -32,9 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from socialog.llm.base import tidy
+
 ROWS = 3  # cells that a digest goes to
 CELLS = 8  # cells of each row in the stored fingerprint
-GROW = 4
+GROW = 8
 EVERY = 16  # words between cuts, on average
 CHECK_SEED, ROW_SEED = 7, 11
 CHECKED = np.uint64(0xFFFFFFFF)
@@ -262,7 +264,7 @@ def fingerprints(docs: DataFrame, runs: int | None = None) -> DataFrame:
         .repartition(runs, "_run")
         .sortWithinPartitions("_run", "_end", "doc_id", "_order")
         .select("_run", "doc_id", "text")
-        .mapInPandas(_stream, RESULT)
+        .mapInPandas(tidy(_stream), RESULT)
     )
 
 
