@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from socialog.llm.base import with_fields
+from socialog.llm.base import Known, tidy, with_fields
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}+(?={MARK}[^{MARK}\n])|{MARK}?[^{MARK}\n]+|{MARK}+|\n")
-BLOCK = 1 << 20  # characters that are suffix-sorted at once
+BLOCK = 1 << 19  # characters that are suffix-sorted at once
 MEMORY = 1 << 21  # places of the table of judged borders
 NEVER = 1 << 40
+HEAD = 4  # characters that fit one number
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
 
@@ -129,6 +130,14 @@ def vocabulary(model_file: str) -> dict:
     }
 
 
+def _packed(codes: np.ndarray) -> np.ndarray:
+    """Rows of codes below 2 ** 16 as one number each."""
+    out = np.zeros(len(codes), np.uint64)
+    for column in codes.T:
+        out = out << np.uint64(16) | column.astype(np.uint64)
+    return out
+
+
 class Encoder:
     def __init__(self, vocabulary: dict):
         self.__dict__.update(vocabulary)
@@ -141,9 +150,11 @@ class Encoder:
         for row, i in zip(self.spelled, self.reached, strict=True):
             row[: len(self.texts[i])] = [self.code[c] for c in self.texts[i]]
         self.lengths = (self.spelled > 0).sum(axis=1)
+        self.kind = np.int16 if self.size < 1 << 15 else np.int32
         self.asked = np.full(MEMORY, -1, np.int64)
         self.answer = np.zeros(MEMORY, bool)
         self.runs: dict[int, list[int]] = {}
+        self.known = Known(self.encoded_words, lambda word: not word.strip(MARK))
 
     # Borders
 
@@ -210,10 +221,17 @@ class Encoder:
     def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end place in ``order`` of the occurrences of each piece."""
         ahead = np.arange(self.longest)
+        # The first characters, packed in one number, narrow the search.
+        heads = _packed(codes[order[:, None] + ahead[:HEAD]])
+        least = self.spelled[:, :HEAD]
+        most = np.where(ahead[:HEAD] < self.lengths[:, None], least, (1 << 16) - 1)
+        start = np.searchsorted(heads, _packed(least), "left")
+        end = np.searchsorted(heads, _packed(most), "right")
         found = []
         for upper in (False, True):
-            low = np.zeros(len(self.spelled), np.int64)
-            high = np.full(len(self.spelled), len(order))
+            low, high = start.copy(), end.copy()
+            short = self.lengths <= HEAD
+            low[short] = high[short] = (end if upper else start)[short]
             while (open_ := np.flatnonzero(low < high)).size:
                 mid = (low[open_] + high[open_]) // 2
                 there = codes[order[mid][:, None] + ahead]
@@ -230,8 +248,8 @@ class Encoder:
             found.append(low)
         return found[0], found[1]
 
-    def encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words, and the start and number of each word's."""
+    def encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has."""
         flat, counts = [], []
         at = 0
         while at < len(words):
@@ -244,8 +262,8 @@ class Encoder:
             counts.append(n)
             at = end
         number = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        ids = np.concatenate(flat) if flat else np.zeros(0, np.int64)
-        return ids, np.cumsum(number) - number, number
+        ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        return ids, number
 
     def _block(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         text = "\0".join(words) + "\0"
@@ -258,11 +276,11 @@ class Encoder:
         order = self.suffixes(codes)
         first, end = self.ranges(np.concatenate([codes, np.zeros(self.longest, np.int64)]), order)
         # Edges, placed by length and end.
-        edges = np.full((self.longest + 1, len(codes) + 1), -1, np.int32)
+        edges = np.full((self.longest + 1, len(codes) + 1), -1, self.kind)
         number = end - first
         pick = np.repeat(first - np.cumsum(number) + number, number) + np.arange(number.sum())
         length = np.repeat(self.lengths, number)
-        edges[length, order[pick] + length] = np.repeat(np.array(self.reached, np.int32), number)
+        edges[length, order[pick] + length] = np.repeat(np.array(self.reached, self.kind), number)
         unknown = np.flatnonzero(codes == 1)
         edges[1, unknown + 1] = -2
 
@@ -315,7 +333,7 @@ class Encoder:
             wide = np.repeat(ids, many)
             wide[wide == -2] = np.concatenate(spelled)
             ids = wide
-        return ids, count
+        return ids.astype(np.int32), count
 
     # Texts
 
@@ -326,38 +344,33 @@ class Encoder:
         return self.runs[n]
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        known: dict[str, int] = {}
+        self.known.forget()
         rows = []
         for text in texts:
             parts = CHUNKS.findall(MARK + text.replace(" ", MARK)) if text else []
-            rows.append([known.setdefault(p, len(known)) for p in parts])
-        words = list(known)
-        marks = {i: len(w) for w, i in known.items() if not w.strip(MARK)}
-        ids, start, number = self.encoded_words([w if w.strip(MARK) else "" for w in words])
-        alone = self.letter[MARK]
+            row = self.known.numbers(parts)
+            rows.append((row, parts if (row < 0).any() else None))
+        self.known.learn()
         out: list[np.ndarray | None] = []
-        for text, row in zip(texts, rows, strict=True):
+        for text, (row, parts) in zip(texts, rows, strict=True):
             if text is None:
                 out.append(None)
-                continue
-            at = np.array(row, np.int64)
-            if marks and any(i in marks for i in row):
-                out.append(self._with_runs(row, marks, ids, start, number, alone))
-                continue
-            n = number[at]
-            pick = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            out.append(ids[pick])
+            elif parts is not None:
+                out.append(self._with_runs(parts, row))
+            else:
+                out.append(self.known.ids_of(row))
         return out
 
-    def _with_runs(self, row, marks, ids, start, number, alone) -> np.ndarray:
+    def _with_runs(self, parts: list[str], row: np.ndarray) -> np.ndarray:
+        """Ids where runs of space marks stand between the words."""
         found: list[int] = []
         before = 0
-        for i in row:
-            if i in marks:
-                before += marks[i]
+        for part, number in zip(parts, row.tolist(), strict=True):
+            if number < 0:
+                before += len(part)
                 continue
-            own = ids[start[i] : start[i] + number[i]].tolist()
-            if before and own and own[0] == alone:
+            own = self.known.ids_of(np.array([number])).tolist()
+            if before and own and own[0] == self.letter[MARK]:
                 before, own = before + 1, own[1:]
             if before:
                 found += self.run(before)
@@ -365,7 +378,7 @@ class Encoder:
             found += own
         if before:
             found += self.run(before)
-        return np.array(found, np.int64)
+        return np.array(found, np.int32)
 
 
 def decoded(ids, raw: list[bytes]) -> str:
@@ -373,19 +386,25 @@ def decoded(ids, raw: list[bytes]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """Add the ids of every text."""
+def encode(
+    docs: DataFrame, model_file: str, text: str = "text", name: str = "ids", back: str | None = None
+) -> DataFrame:
+    """Add the ids of every text and, if ``back`` names a column, what they decode to."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model_file))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value)
         for texts in batches:
-            some = [t if isinstance(t, str) else None for t in texts]
-            yield pd.DataFrame({"ids": [i if i is None else i.astype(np.int32) for i in encoder(some)]})
+            rows = encoder([t if isinstance(t, str) else None for t in texts])
+            made = {"ids": rows}
+            if back:
+                made["back"] = [None if r is None else decoded(r.tolist(), encoder.raw) for r in rows]
+            yield pd.DataFrame(made, dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    made = F.pandas_udf(run, ENCODED)(docs[text].cast("string"))
-    return with_fields(docs, made, {"ids": name})
+    kind = T.StructType([ENCODED["ids"], *([T.StructField("back", T.StringType())] if back else [])])
+    made = F.pandas_udf(tidy(run), kind)(docs[text].cast("string"))
+    return with_fields(docs, made, {name: "ids"} | ({back: "back"} if back else {}))
 
 
 def decode(docs: DataFrame, model_file: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -398,4 +417,4 @@ def decode(docs: DataFrame, model_file: str, ids: str = "ids", name: str = "deco
             yield pd.Series([None if r is None else decoded(r.tolist(), raw) for r in rows], dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.withColumn(name, F.pandas_udf(run, T.StringType())(docs[ids]))
+    return docs.withColumn(name, F.pandas_udf(tidy(run), T.StringType())(docs[ids]))

@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialog.llm import fingerprints, html, langid, lines, neighbours, packing, pieces, simhash, substrings, toxicity
-from socialog.llm.base import is_fold, table, tokenizer_path
+from socialog.llm.base import is_fold, small_batches, table, tokenizer_path
+
+
+def _in_small_batches(query):
+    """Text columns go to Python workers a few MB at a time."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +68,9 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_counts(table(spark, sf_dir, "documents"))
+    found = lines.line_counts(table(spark, sf_dir, "documents"))
+    places = F.array_join(F.col("kept_lines").cast("array<string>"), ",")
+    return found.withColumn("kept_lines", places)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +80,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.decode(pieces.encode(docs, model), model).select(
+    return pieces.encode(docs, model, back="decoded").select(
         "doc_id",
         F.size("ids").alias("n_ids"),
         F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
@@ -89,4 +104,57 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLE: dict[str, str] = {}
+QUERIES = {name: _in_small_batches(query) for name, query in QUERIES.items()}
+_LINE = r"trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13))"
+
+# What SQL can state; tests hold the other operators against brute force.
+ORACLE = {
+    "op6_substrings": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                       lambda x: x <> '') AS ws
+            FROM documents),
+        places AS (
+            SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS p
+            FROM w WHERE len(ws) >= 35),
+        windows AS (
+            SELECT doc_id, p,
+                   count(*) OVER (PARTITION BY md5(array_to_string(ws[p : p + 34], ' '))) AS n
+            FROM places),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(p, p + 34)) AS q FROM windows WHERE n > 1),
+        words AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS q FROM w),
+        kept AS (
+            SELECT doc_id, count(gone.q) AS n_removed,
+                   string_agg(x, ' ' ORDER BY q) FILTER (gone.q IS NULL) AS t
+            FROM words LEFT JOIN gone USING (doc_id, q) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
+    "op7_lines": f"""
+        WITH split AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+            FROM documents),
+        sets AS (
+            SELECT doc_id, i, list_sort(list_distinct(list_filter(
+                       string_split({_LINE}, ' '), lambda x: x <> ''))) AS s
+            FROM split WHERE {_LINE} <> ''),
+        classes AS (
+            SELECT s, row_number() OVER (ORDER BY doc_id, i) AS id
+            FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM sets)
+            WHERE k = 1),
+        words AS (SELECT id, len(s) AS n, unnest(s) AS word FROM classes),
+        late AS (
+            SELECT DISTINCT id FROM (
+                SELECT b.id FROM words a JOIN words b ON a.word = b.word
+                WHERE a.id < b.id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+                GROUP BY a.id, a.n, b.id, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n))),
+        marked AS (
+            SELECT doc_id, i, id IN (SELECT id FROM late)
+                   OR row_number() OVER (PARTITION BY id ORDER BY doc_id, i) > 1 AS removed
+            FROM sets JOIN classes USING (s))
+        SELECT doc_id, count(i) AS n_lines, count(*) FILTER (removed) AS n_removed,
+               coalesce(string_agg(i, ',' ORDER BY i) FILTER (NOT removed), '') AS kept_lines
+        FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
+}
