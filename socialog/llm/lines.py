@@ -5,39 +5,40 @@ or more. A line is removed if an earlier line (by id, then place) matches it.
 
 Lines with equal sets are one class, so copies cost one row. The words of a class
 are ordered by rarity (exact counts over all lines in ``BUCKETS`` hash buckets, in
-logarithmic steps, ties by hash). A match of two classes shares a word among the
-first ``n - ceil(4n/5) + 1`` of each (prefix filter); sizes within 4/5 of each other
-(length filter) and enough words after the shared one (positional filter) leave the
-candidates, whose word sets are then compared. The hash of a word is only ever used
-to find candidates.
+logarithmic steps, ties by hash). Two classes that match share ``SHARED`` words among
+the first ``n - ceil(4n/5) + SHARED`` of each (prefix filter); with sizes within 4/5 of
+each other (length filter) and enough words after the last shared one (positional
+filter) they are candidates, whose word sets are then compared. The hash of a word
+is only ever used to find candidates. For the comparison, lines are fetched by
+place; a bit set of fixed size keeps most lines that nobody asked for from moving.
 
 All lines of a class whose first line comes after the first line of a matching
 class are removed, and of any other class all but the first line.
 
-Defined results: words are what ASCII blanks separate, lines what ``\\n`` separates.
-Blank lines match nothing and stay. NULL text stays NULL, with no line. Rows with
+Defined results: words are what spaces separate, lines what ``\\n`` separates; other
+blanks around a line don't count. Blank lines match nothing and stay. NULL text stays NULL, with no line. Rows with
 equal id and text are one place: their lines are kept or removed alike. NULL ids
 come first. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from socialog.llm.base import free_name
 from socialog.session import written
 
-BUCKETS = 1 << 15
-RANK_BITS = 5
-BLANK = r"[ \t\x0B\f\r]+"
+BUCKETS = 1 << 18
+RANK_BITS = 6
+BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
+SHARED = 3  # words that the prefixes of a match have in common; sets of PART words allow it
+BITS = 1 << 21
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, BLANK), lambda w: w != "")
+    return F.array_remove(F.split(F.btrim(line, F.lit(BLANKS)), " "), "")
 
 
 def _bucket(hashed: Column) -> Column:
@@ -48,23 +49,35 @@ def _placed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"),
         F.xxhash64("doc_id", text).alias("_mark"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("_line", "_words"),
-    ).withColumn("_words", _words(F.col("_words")))
+        F.posexplode(F.split(F.col(text), "\n")).alias("_line", "_text"),
+    )
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """Rank of each hash bucket: about the logarithm of how often its words occur."""
+    """Rank of each hash bucket: in steps of the logarithm of how often its words occur."""
     counts = (
-        lines.select(F.explode("_words").alias("w"))
+        lines.select(F.explode(_words(F.col("_text"))).alias("w"))
         .groupBy(_bucket(F.xxhash64("w")).alias("bucket"))
         .count()
-        .collect()  # at most BUCKETS rows
     )
-    ranks = [0] * BUCKETS
-    for bucket, n in counts:
-        ranks[bucket] = min(int(0.8 * math.log2(n)), (1 << RANK_BITS) - 1)
-    # Folded into one array literal before the query runs.
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
+    most = (1 << RANK_BITS) - 1
+    rank = F.least(F.floor(F.log2(F.col("count")) * 1.6), F.lit(most)).cast("int")
+    # BUCKETS rows whatever the input; strings of 1024 ranks come to the driver.
+    runs = (
+        lines.sparkSession.range(BUCKETS)
+        .select(F.col("id").cast("int").alias("bucket"))
+        .join(counts, "bucket", "left")
+        .groupBy(F.shiftright("bucket", 10).alias("run"))
+        .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(rank, F.lit(0)).alias("rank")))).alias("of"))
+        .select("run", F.array_join(F.transform("of", lambda x: x["rank"].cast("string")), ",").alias("ranks"))
+        .collect()
+    )
+    return _literal(",".join(r["ranks"] for r in sorted(runs)), "tinyint")
+
+
+def _literal(values: str, kind: str) -> Column:
+    """An array that is folded into one literal before the query runs."""
+    return F.split(F.lit(values), ",").cast(f"array<{kind}>")
 
 
 def _by_rarity(words: Column, ranks: Column) -> Column:
@@ -87,7 +100,7 @@ def _needed(size: Column) -> Column:
 def classes(lines: DataFrame) -> DataFrame:
     """One row for each word set: its number, first line, size and rarest words."""
     sets = (
-        lines.withColumn("_sorted", _by_rarity(F.col("_words"), _rarity(lines)))
+        lines.withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(lines)))
         .filter(F.size("_sorted") > 0)
         .withColumn("_size", F.size("_sorted"))
     )
@@ -96,7 +109,7 @@ def classes(lines: DataFrame) -> DataFrame:
             F.xxhash64("_sorted").alias("_a"),
             F.xxhash64(F.lit(1), "_sorted").alias("_b"),
             "_size",
-            F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + 1).alias("_rarest"),
+            F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + SHARED).alias("_rarest"),
             F.struct("_id", "_mark", "_line").alias("_first"),
         )
         .groupBy("_a", "_b")
@@ -115,29 +128,60 @@ def candidates(found: DataFrame) -> DataFrame:
     a = prefixes.select(*[F.col(c).alias(f"{c}_a") for c in prefixes.columns])
     b = prefixes.select(*[F.col(c).alias(f"{c}_b") for c in prefixes.columns])
     together = F.col("size_a") + F.col("size_b")
-    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    return a.join(
-        b,
-        (F.col("word_a") == F.col("word_b"))
-        & (F.col("number_a") < F.col("number_b"))
-        & (F.least("size_a", "size_b") * WHOLE >= F.greatest("size_a", "size_b") * PART)
-        & (rest * (PART + WHOLE) >= together * PART),
-    ).select("number_a", "number_b")
+    # Words behind a shared one, and those shared with and before it at most.
+    behind = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) - 1
+    before = F.least("place_a", "place_b") + 1
+    return (
+        a.join(
+            b,
+            (F.col("word_a") == F.col("word_b"))
+            & (F.col("number_a") < F.col("number_b"))
+            & (F.least("size_a", "size_b") * WHOLE >= F.greatest("size_a", "size_b") * PART)
+            & ((before + behind) * (PART + WHOLE) >= together * PART),
+        )
+        .groupBy("number_a", "number_b")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(behind).alias("behind"), F.first(together).alias("together"))
+        .filter(
+            (F.col("n") >= SHARED)
+            & ((F.col("n") + F.col("behind")) * (PART + WHOLE) >= F.col("together") * PART)
+        )
+        .select("number_a", "number_b")
+    )
+
+
+def _asked_for(places: DataFrame) -> Column:
+    """Whether a place may be among ``places``: a bit for each hash, BITS in all."""
+    bit = F.pmod(F.xxhash64("_id", "_mark", "_line"), F.lit(BITS))
+    word, mask = F.shiftright(bit, 6), F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    words = (
+        places.select(bit.alias("_bit"))
+        .groupBy(F.shiftright("_bit", 6).alias("word"))
+        .agg(F.bit_or(mask).alias("bits"))
+        .collect()  # at most BITS / 64 rows
+    )
+    held = [0] * (BITS // 64)
+    for at, bits in words:
+        held[at] = bits
+    found = F.get(_literal(",".join(map(str, held)), "bigint"), word.cast("int"))
+    return F.getbit(found, F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 
 def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
     """Numbers of the classes that match one whose first line is earlier."""
-    pairs = written(candidates(found).distinct(), "line-pairs")
-    wanted = (
+    pairs = written(candidates(found), "line-pairs")
+    wanted = written(
         pairs.select(F.explode(F.array("number_a", "number_b")).alias("number"))
         .distinct()
         .join(found.select("number", "first"), "number")
-        .select("number", "first", "first.*")
+        .select("number", "first", "first.*"),
+        "line-places",
     )
     sets = written(
-        lines.join(wanted, ["_id", "_mark", "_line"])
+        lines.filter(_asked_for(wanted))
+        .join(wanted, ["_id", "_mark", "_line"])
         .groupBy("number", "first")
-        .agg(F.first(F.array_distinct("_words")).alias("words")),
+        .agg(F.first("_text").alias("text"))
+        .select("number", "first", F.array_distinct(_words(F.col("text"))).alias("words")),
         "line-words",
     )
     a = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
@@ -186,7 +230,7 @@ def line_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _not_blank(line: Column) -> Column:
-    return line.rlike(r"[^ \t\x0B\f\r]")
+    return F.btrim(line, F.lit(BLANKS)) != ""
 
 
 def without_similar_lines(docs: DataFrame, text: str = "text") -> DataFrame:
