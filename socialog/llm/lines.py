@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from socialog.llm.base import free_name
 from socialog.session import written
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 19
 RANK_BITS = 6
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
