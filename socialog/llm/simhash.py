@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -270,32 +270,35 @@ def grouped(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
-    """The row with the smallest id (then text hash) of each group, all columns as they are.
-
-    Rows with equal id and text are one. NULL ids stand behind all others.
-    """
-    place = [
+def placed(docs: DataFrame, text: str = "text") -> list[Column]:
+    """_id, NULLs behind all others, and _mark: what tells rows apart."""
+    return [
         F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
         F.xxhash64(docs["doc_id"], docs[text]).alias("_mark"),
     ]
-    prints = written(
-        with_fingerprint(docs.select(*place, docs[text].alias("_text")), "print", "_text", shingle).select(
-            "_id", "_mark", "print"
-        ),
-        "fingerprints",
-    )
+
+
+def first_of_each(docs: DataFrame, rooted: DataFrame, text: str = "text") -> DataFrame:
+    """The first row of each root of ``rooted`` (_id, _mark, root), all columns as they are."""
     first = Window.partitionBy("root").orderBy("_id", "_mark")
-    chosen = (
-        prints.join(roots_of(prints), "print")
-        .withColumn("_at", F.row_number().over(first))
-        .filter("_at = 1")
-        .select("_id", "_mark")
-    )
+    chosen = rooted.withColumn("_at", F.row_number().over(first)).filter("_at = 1").select("_id", "_mark")
     hold = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
-    kept = docs.select(*place, hold).join(chosen, ["_id", "_mark"], "left_semi")
+    kept = docs.select(*placed(docs, text), hold).join(chosen, ["_id", "_mark"], "left_semi")
     return (
         kept.groupBy("_id", "_mark")
         .agg(F.first("_row").alias("_row"))
         .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
+    """The row with the smallest id (then text hash) of each group, all columns as they are.
+
+    Rows with equal id and text are one. NULL ids stand behind all others.
+    """
+    texts = docs.select(*placed(docs, text), docs[text].alias("_text"))
+    prints = written(
+        with_fingerprint(texts, "print", "_text", shingle).select("_id", "_mark", "print"), "fingerprints"
+    )
+    rooted = prints.join(roots_of(prints), "print").select("_id", "_mark", "root")
+    return first_of_each(docs, rooted, text)

@@ -12,7 +12,7 @@ from conftest import DATA, final_plan
 from llm_frames import DOCS, by_id, docs
 from pyspark.sql import functions as F
 
-from socialog.llm import lines, neighbours, simhash, substrings
+from socialog.llm import lines, neighbours, similar, simhash, substrings
 from socialog.llm.base import table
 from socialog.llm.components import components
 from socialog.llm.queries import ORACLE, QUERIES
@@ -282,6 +282,75 @@ def test_groups_of_documents(spark):
     assert sorted(r["text"] for r in simhash.one_of_each(twice).collect()) == ["a", "b c d"]
 
 
+# Near copies
+
+
+def slow_similar(texts):
+    """Least member reachable over a Jaccard similarity of 4/5 of five-word shingles, and the pairs."""
+    sets = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    group, linked = list(range(len(sets))), []
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets[:i]):
+            if 5 * len(s & t) >= 4 * len(s | t):
+                linked.append((j, i))
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    return group, linked
+
+
+def near_copies(n_words, n_texts, changes, seed):
+    """Pairs of a random text and a copy with some single words replaced."""
+    random.seed(seed)
+    texts = []
+    for i in range(n_texts):
+        words = [f"v{random.randrange(5000)}" for _ in range(n_words)]
+        texts.append(" ".join(words))
+        for at in random.sample(range(n_words), changes[i % len(changes)]):
+            words[at] = f"x{random.randrange(5000)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_stage_keeps_one_of_each_near_copy(spark):
+    """Planted copies from 0.7 to 1 against brute force; SimHash links miss most of them."""
+    import corpus_pipeline
+
+    texts = near_copies(100, 60, (1, 1, 2, 3), 23) + near_copies(300, 20, (2, 4, 5, 7), 29)
+    wanted, linked = slow_similar(texts)
+    assert len(linked) >= 50 and len(set(wanted)) > len(texts) / 2
+    rows = docs(spark, texts).cache()
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()} == set(wanted)
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert sum((prints[a] ^ prints[b]).bit_count() <= simhash.MOST for a, b in linked) < 0.6 * len(linked)
+
+
+def test_similar_groups_match_brute_force(spark, monkeypatch):
+    """Chains of copies, a template in a third of all texts, short, equal and blank texts."""
+    monkeypatch.setattr(similar, "SAMPLE", 40)
+    random.seed(31)
+    vocabulary = [f"w{i}" for i in range(300)]
+    template = random.choices(vocabulary, k=40)
+    texts = [None, "", " \n", "a b", "A  b", "a b c d e", "a b c d e f"]
+    for i in range(12):
+        words = random.choices(vocabulary, k=random.randint(20, 90))
+        if i % 3 == 0:
+            words = template + words[:15]
+        for _ in range(8):
+            texts.append(" ".join(words))
+            for _ in range(random.randint(0, 3)):
+                words[random.randrange(len(words))] = random.choice(vocabulary)
+    texts += texts[20:24]
+    wanted, _ = slow_similar(texts)
+    rows = docs(spark, texts)
+    assert {r["doc_id"] for r in similar.one_of_each(rows).collect()} == set(wanted)
+    assert similar.one_of_each(spark.createDataFrame([], DOCS)).count() == 0
+    twice = spark.createDataFrame([(None, "a"), (None, "a"), (5, "a"), (5, "b c d")], "doc_id long, text string")
+    assert sorted(r["text"] for r in similar.one_of_each(twice).collect()) == ["a", "b c d"]
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
 def test_components(spark, shape):
     random.seed(19)
