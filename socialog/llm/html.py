@@ -3,8 +3,10 @@
 A tree is built from the tags, with the tags that HTML implies: a new block ends an
 open paragraph, a new item, row, cell or option ends the one before, and what ends
 an element ends all that is open within it. Elements that are never shown (head,
-script, style and the like, hidden inputs, ``hidden``, ``display:none``,
-``visibility:hidden``) are left out with all they hold. The tree is then rendered:
+script, style and the like, hidden inputs, ``hidden``, ``display:none``) are left out
+with all they hold; under ``visibility:hidden`` what is made visible again is shown.
+Formulas are shown but for their annotations, and of drawings the labels (``text``)
+and embedded HTML. The tree is then rendered:
 white space collapses except in ``pre``, blocks start on a line of their own,
 paragraphs, headings, lists and tables stand between blank lines, list items carry
 their mark and are indented by depth, and table cells are filled up so that columns
@@ -31,8 +33,18 @@ from socialog.llm.base import per_text
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title".split())
 UNSEEN = frozenset(
-    "head script style title noscript template iframe object svg math audio video canvas "
-    "datalist".split()
+    "head script style title noscript template iframe object audio video canvas datalist "
+    "annotation annotation-xml mphantom".split()
+)
+UNDRAWN = frozenset(  # of a drawing
+    "defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()
+)
+FOREIGN = frozenset(("svg", "math"))
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+# Opening tags that end a drawing or formula left open.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+    "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure".split())
 BLOCKS = SPACED | frozenset(
@@ -41,6 +53,8 @@ BLOCKS = SPACED | frozenset(
 )
 ENDS_P = BLOCKS - frozenset("html body td th tr caption thead tbody tfoot option".split())
 CELLS = frozenset(("td", "th"))
+BORDER = frozenset(("table", "foreignobject"))  # closing tags reach no further,
+FREE = frozenset(("table", "body", "svg", "foreignobject"))  # but for these
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 # An opening tag ends the open elements on the right, up to the border after it.
 IMPLIED = {
@@ -64,17 +78,19 @@ TAG = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")
+STYLE = re.compile(r"(?<![\w-])(display|visibility|content-visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("name", "attributes", "inside")
+    __slots__ = ("name", "attributes", "inside", "foreign")
 
     def __init__(self, name: str, attributes: dict[str, str] | None = None):
         self.name = name
         self.attributes = attributes or {}
         self.inside: list[Node | str] = []
+        self.foreign = ""  # svg or math, of such an element and what is below it
 
 
 def tree(page: str) -> Node:
@@ -111,15 +127,18 @@ def tree(page: str) -> Node:
             if name == "p" and all(n.name != "p" for n in open_nodes):
                 open_nodes[-1].inside.append(Node("p"))
             elif name != "html":
-                border = frozenset(("table",)) if name not in ("table", "body") else frozenset()
+                border = frozenset() if name in FREE else BORDER
                 close_one(open_nodes, name, border)
             continue
         if open_nodes[-1].name == "head" and name not in IN_HEAD:
             del open_nodes[-1]
+        if name in ENDS_FOREIGN:
+            while open_nodes[-1].foreign and open_nodes[-1].name not in HTML_AGAIN:
+                del open_nodes[-1]
         if name in ENDS_P:
-            close_one(open_nodes, "p", frozenset(("table", "button")))
+            close_one(open_nodes, "p", BORDER | {"button"})
         if name in IMPLIED:
-            close(*IMPLIED[name])
+            close(IMPLIED[name][0], IMPLIED[name][1] | {"foreignobject"})
         attributes = {
             m[1].lower(): unescape(m[2] or m[3] or m[4] or "")
             for m in ATTRIBUTE.finditer(found["rest"])
@@ -128,7 +147,11 @@ def tree(page: str) -> Node:
         if name == "html":
             root.attributes = attributes | root.attributes
             continue
-        open_nodes[-1].inside.append(node)
+        above = open_nodes[-1]
+        above.inside.append(node)
+        node.foreign = name if name in FOREIGN else "" if above.name in HTML_AGAIN else above.foreign
+        if node.foreign and found["rest"].endswith("/") and not UNQUOTED.search(found["rest"]):
+            continue
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
             raw = page[at : end.start() if end else len(page)]
@@ -150,12 +173,23 @@ def close_one(open_nodes: list[Node], name: str, border: frozenset[str]) -> None
             return
 
 
-def shown(node: Node) -> bool:
+def shown(node: Node, style: dict[str, str]) -> bool:
     if node.name in UNSEEN or "hidden" in node.attributes:
         return False
+    if node.foreign == "svg" and node.name in UNDRAWN:
+        return False
     if node.name == "input" and node.attributes.get("type", "").lower() == "hidden":
         return False
-    return not NOT_SHOWN.search(node.attributes.get("style", ""))
+    if style.get("visibility") == "collapse" and node.name in GROUPS | {"tr"}:
+        return False
+    return style.get("display") != "none" and style.get("content-visibility") != "hidden"
+
+
+def style_of(node: Node) -> dict[str, str]:
+    """What the element itself says of its visibility."""
+    given = node.attributes
+    said = {k: given[k].strip().lower() for k in ("display", "visibility") if node.foreign == "svg" and k in given}
+    return said | {m[1].lower(): m[2].lower() for m in STYLE.finditer(given.get("style", ""))}
 
 
 class Page:
@@ -225,6 +259,13 @@ def grid(rows: list[list[list[str]]]) -> list[str]:
     return out
 
 
+def displayed(node: Node) -> bool:
+    """Whether a part of a formula stands on a line of its own."""
+    if node.foreign != "math":
+        return False
+    return node.name == "mtr" or node.name == "math" and node.attributes.get("display", "").lower() == "block"
+
+
 def rendered(root: Node) -> str:
     """All visible text of a tree, laid out."""
     pages = [Page()]
@@ -232,12 +273,15 @@ def rendered(root: Node) -> str:
     lists: list[list] = []  # kind and number of each open list
     indents: list[str] = []
     kept = 0
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
+    labels: list[int] = []  # of each open drawing, so far
+    # With each node: whether it is left, is visible, and is of a drawing but not of a label.
+    todo: list[tuple[Node | str, bool, bool, bool]] = [(root, False, True, False)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, visible, drawn = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
-            page.add(node, kept > 0)
+            if visible and not drawn:
+                page.add(node, kept > 0)
             continue
         name = node.name
         if leaving:
@@ -255,22 +299,27 @@ def rendered(root: Node) -> str:
                 page.indent, page.mark = indents.pop(), ""
             elif name == "pre":
                 kept -= 1
+            elif name == "svg":
+                labels.pop()
             if name in SPACED and not (name in ("ul", "ol") and lists):
                 page.space()
-            elif name in BLOCKS:
+            elif name in BLOCKS or displayed(node):
                 page.end()
             continue
-        if not shown(node):
+        style = style_of(node)
+        if not shown(node, style):
             continue
+        if (said := style.get("visibility")) in ("hidden", "collapse", "visible", "initial"):
+            visible = said in ("visible", "initial")
         if name == "br":
             if page.now:
                 page.end()
             continue
         if name == "img":
-            page.add(node.attributes.get("alt", ""), False)
+            page.add(node.attributes.get("alt", "") if visible else "", False)
             continue
         if name == "input":
-            page.add(node.attributes.get("value", ""), False)
+            page.add(node.attributes.get("value", "") if visible else "", False)
             continue
         if name in CELLS and tables:
             if not tables[-1]:
@@ -280,8 +329,16 @@ def rendered(root: Node) -> str:
             tables[-1].append([])
         elif name in SPACED and not (name in ("ul", "ol") and lists):
             page.space()
-        elif name in BLOCKS:
+        elif name in BLOCKS or displayed(node):
             page.end()
+        if name == "svg":
+            labels.append(0)
+            drawn = True
+        elif node.foreign == "svg" and name in ("text", "foreignobject"):
+            if labels[-1]:
+                page.add(" ", False)
+            labels[-1] += 1
+            drawn = False
         if name == "table":
             tables.append([])
         elif name in ("ul", "ol"):
@@ -302,8 +359,11 @@ def rendered(root: Node) -> str:
             page.indent += "  "
         elif name == "pre":
             kept += 1
-        todo.append((node, True))
-        todo.extend((inside, False) for inside in reversed(node.inside))
+        todo.append((node, True, visible, drawn))
+        parts = node.inside
+        if node.foreign == "math" and name in ("mfrac", "mtr"):
+            parts = [part for inside in parts for part in (inside, " ")]
+        todo.extend((inside, False, visible, drawn) for inside in reversed(parts))
     return "\n".join(pages[0].text())
 
 

@@ -184,6 +184,18 @@ PAGES = {
     "x<img alt='pic'>y</p>z": "xpicy\n\nz",
     "<td>x</td>": "x",
     "a\n\n   b\t c": "a b c",
+    "so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>.": "so x=1 2 .",
+    "<math><semantics><mi>y</mi><annotation>tex</annotation></semantics></math>z": "yz",
+    "a<math display=block><mn>4</mn></math>b": "a\n4\nb",
+    "<svg><title>t</title><desc>d</desc><metadata>m</metadata><defs><text>n</text></defs>"
+    "<g> loose <rect/><text>one <tspan>two</tspan></text>\n<text x=1>three</text></g></svg>": "one two three",
+    "<svg><title/><path d='M0'/><text>a</text><text display=none>b</text></svg><title/>c": "a",
+    "<p>a<svg><foreignObject><p>b</p></foreignObject><text>c</text></svg>d": "a\n\nb\n\ncd",
+    "<svg><path d=M0><p>after an open drawing": "after an open drawing",
+    "<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c<img alt=d></div>e": "b\ne",
+    "<div style='display:none'>a<b style='visibility:visible'>b</b></div>c": "c",
+    "<p style='visibility:visible'><i style='visibility:hidden'>a<u style='visibility:inherit'>b</u></i>c": "c",
+    "<div style='backface-visibility:hidden'>a</div>": "a",
 }
 
 
