@@ -73,7 +73,7 @@ IMPLIED = {
 IN_HEAD = frozenset("base link meta script style title noscript template".split())
 
 TAG = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
+    r"<!--(?:-?>|.*?--!?>|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
     re.DOTALL,
 )

@@ -196,6 +196,10 @@ PAGES = {
     "<div style='display:none'>a<b style='visibility:visible'>b</b></div>c": "c",
     "<p style='visibility:visible'><i style='visibility:hidden'>a<u style='visibility:inherit'>b</u></i>c": "c",
     "<div style='backface-visibility:hidden'>a</div>": "a",
+    "a<!-->b c d": "ab c d",
+    "a<!--->b<!-- x -->c": "abc",
+    "a<!-- x --!>b": "ab",
+    "a<!--[if !IE]><!-->b<!--<![endif]-->c": "abc",
 }
 
 
