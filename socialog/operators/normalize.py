@@ -74,11 +74,34 @@ def flatten_profiles(messages: DataFrame) -> DataFrame:
     )
 
 
+def flatten_verifications(messages: DataFrame) -> DataFrame:
+    """Address and protocol of added and removed verifications."""
+    data = F.col(DATA)
+    add, gone = data["verification_add_address_body"], data["verification_remove_body"]
+    return messages.select(
+        *common_columns(),
+        codec.hex_text(F.coalesce(add["address"], gone["address"])).alias("Address"),
+        or_blank(F.coalesce(add["protocol"], gone["protocol"])).alias("Protocol"),
+    )
+
+
+def flatten_link_states(messages: DataFrame) -> DataFrame:
+    """Compact link messages: the whole list of targets of a user and link type."""
+    body = F.col(DATA)["link_compact_state_body"]
+    return messages.select(
+        *common_columns(),
+        or_blank(body["type"]).alias("LinkType"),
+        F.coalesce(body["target_fids"], F.array().cast("array<bigint>")).alias("TargetFids"),
+    )
+
+
 FLATTEN = {
     "casts": flatten_casts,
     "reactions": flatten_reactions,
     "links": flatten_links,
     "profiles": flatten_profiles,
+    "verifications": flatten_verifications,
+    "link_states": flatten_link_states,
 }
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 REACTION_KEY = ("Fid", "TargetCastId", "ReactionType")
 REACTION_KEY_WITH_URL = (*REACTION_KEY, "TargetUrl")
 LINK_KEY = ("Fid", "TargetFid", "LinkType")
+VERIFICATION_KEY = ("Fid", "Address")
 
 # Profile fields of the wide table, in column order.
 WIDE_FIELDS = ("Username", "Display", "Location", "Pfp", "Bio", "Twitter")
@@ -158,6 +159,26 @@ def latest_addresses(verifications: DataFrame) -> DataFrame:
     )
 
 
+def live_verifications(log: DataFrame, how=live) -> DataFrame:
+    """Addresses whose newest message adds them."""
+    return how(log, VERIFICATION_KEY, "VerificationAddEthAddress", "VerificationRemove")
+
+
+def listed_addresses(verifications: DataFrame) -> DataFrame:
+    """Flat verification messages as the rows that ``latest_addresses`` and the lookups read.
+
+    Of messages at one second the one with the smallest hash is listed first.
+    """
+    return verifications.select(
+        F.col("Fid").alias("fid"),
+        F.col("MessageType").alias("type"),
+        F.col("Timestamp").alias("timestamp"),
+        F.col("Address").alias("address"),
+        F.col("Protocol").alias("protocol"),
+        F.conv(F.substring("Hash", 3, 15), 16, 10).cast("long").alias("seq"),
+    )
+
+
 def pro_members(tiers: DataFrame, verifications: DataFrame, now: int) -> DataFrame:
     """Active pro members, each once, with their newest Ethereum address, ``""`` if none.
 
@@ -188,3 +209,50 @@ def compact_links(live_links: DataFrame, span: int = 100_000) -> DataFrame:
         .groupBy("Fid", "LinkType", "Part")
         .agg(F.array_sort(F.collect_set("TargetFid")).alias("TargetFids"))
     )
+
+
+def newest_compacts(compacts: DataFrame) -> DataFrame:
+    """The newest compact message of each user and link type; ties go to the highest hash.
+
+    The newest are found without their lists, which move once.
+    """
+    newest = compacts.groupBy("Fid", "LinkType").agg(F.max(F.struct("Timestamp", "Hash")).alias("_newest"))
+    newest = newest.select("Fid", "LinkType", "_newest.*")
+    return compacts.join(newest, ["Fid", "LinkType", "Timestamp", "Hash"], "left_semi").dropDuplicates(
+        ["Fid", "LinkType", "Timestamp", "Hash"]
+    )
+
+
+def compacted_log(log: DataFrame, compacts: DataFrame) -> DataFrame:
+    """The log of links once compact messages have replaced what they stand for.
+
+    A compact message at second t replaces all adds and removes of its user and link
+    type up to t, that second included: its targets are adds at t, what comes later is
+    applied on top. Each message is compared with one narrow row of its key; no
+    list is held against a message.
+    """
+    newest = newest_compacts(compacts)
+    since = newest.select("Fid", "LinkType", F.col("Timestamp").alias("_since"))
+    later = (
+        log.filter(F.col("MessageType").isin("LinkAdd", "LinkRemove"))
+        .join(since, ["Fid", "LinkType"], "left")
+        .filter(F.col("_since").isNull() | (F.col("Timestamp") > F.col("_since")))
+        .select(*log.columns)
+    )
+    listed = newest.withColumn("TargetFid", F.explode(F.array_distinct("TargetFids")))
+    blank = {f.name: F.lit(0 if f.dataType.typeName() == "long" else "") for f in log.schema.fields}
+    given = {name: F.col(name) for name in listed.columns if name in blank}
+    adds = listed.select(
+        *[
+            (F.lit("LinkAdd") if f.name == "MessageType" else given.get(f.name, blank[f.name]))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in log.schema.fields
+        ]
+    )
+    return later.unionByName(adds)
+
+
+def live_compacted_links(log: DataFrame, compacts: DataFrame, how=live) -> DataFrame:
+    """Current links of a log with compact messages."""
+    return live_links(compacted_log(log, compacts), how)

@@ -176,6 +176,58 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT fid, address FROM verifications WHERE protocol = 'Ethereum'
         QUALIFY row_number() OVER (PARTITION BY fid ORDER BY timestamp DESC, seq) = 1""",
     ),
+    "link_states": (
+        ("ev",),
+        f"""
+        SELECT user_id AS Fid, 'LinkCompactState' AS MessageType,
+               sec - sec % 3600 - 1609459200 AS Timestamp,
+               '0x' || md5('k:' || event_id) AS Hash, {_SIGNED}, 'follow' AS LinkType,
+               [k % 10, (k + 3) % 10, (k + 7) % 10] AS TargetFids
+        FROM ev WHERE event_type = 'signup'""",
+    ),
+    "live_compacted_links": (
+        ("links", "link_states"),
+        """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, rank() OVER (PARTITION BY Fid, TargetFid, LinkType
+                                   ORDER BY Timestamp DESC) AS place
+            FROM (SELECT l.* FROM links l LEFT JOIN (
+                      SELECT Fid, LinkType, max(Timestamp) AS since FROM link_states GROUP BY ALL) s
+                      USING (Fid, LinkType)
+                  WHERE since IS NULL OR Timestamp > since
+                  UNION ALL
+                  SELECT Fid, 'LinkAdd', Timestamp, Hash, SignatureScheme, Signature, Signer, LinkType,
+                         unnest(TargetFids), 0
+                  FROM (FROM link_states QUALIFY row_number() OVER (
+                            PARTITION BY Fid, LinkType ORDER BY Timestamp DESC, Hash DESC) = 1)))
+        WHERE place = 1 AND MessageType = 'LinkAdd'""",
+    ),
+    "verification_log": (
+        (),
+        f"""
+        SELECT o_custkey AS Fid, m AS MessageType,
+               CAST(epoch(o_orderdate) - epoch(TIMESTAMP '1990-01-01') AS BIGINT) + later AS Timestamp,
+               '0x' || md5(kind || ':' || o_orderkey) AS Hash, {_SIGNED},
+               '0x' || md5('a:' || o_orderkey) AS Address,
+               CASE WHEN o_orderstatus <> 'P' THEN 'Ethereum' ELSE 'Solana' END AS Protocol
+        FROM orders JOIN (VALUES ('VerificationAddEthAddress', 'add', 0),
+                                 ('VerificationRemove', 'gone', 86400)) v(m, kind, later)
+             ON kind = 'add' OR o_orderkey % 5 = 0""",
+    ),
+    "live_verifications": (
+        ("verification_log",),
+        """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, rank() OVER (PARTITION BY Fid, Address ORDER BY Timestamp DESC) AS place
+            FROM verification_log)
+        WHERE place = 1 AND MessageType = 'VerificationAddEthAddress'""",
+    ),
+    "live_addresses": (
+        ("live_verifications",),
+        """
+        SELECT Fid AS fid, Address AS address FROM live_verifications WHERE Protocol = 'Ethereum'
+        QUALIFY row_number() OVER (PARTITION BY Fid ORDER BY Timestamp DESC, Hash) = 1""",
+    ),
     "roles": (
         ("verifications",),
         """

@@ -253,6 +253,55 @@ def derive_profile_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(profiles(spark, sf_dir), {"user_data_body": body})
 
 
+def derive_link_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compact messages on the hour, so that some share their second with adds and removes."""
+    ev = base_events(spark, sf_dir).filter(F.col("event_type") == "signup")
+    sec, k = F.col("sec"), F.col("k")
+    return _flat(
+        ev,
+        "link_states",
+        {
+            "Fid": F.col("user_id"),
+            "MessageType": F.lit("LinkCompactState"),
+            "Timestamp": sec - sec % 3600 - clock.EPOCH,
+            "Hash": digest("k:", F.col("event_id")),
+            "LinkType": F.lit("follow"),
+            "TargetFids": F.array(k % 10, (k + 3) % 10, (k + 7) % 10),
+        },
+    )
+
+
+def derive_link_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.struct(F.col("LinkType").alias("type"), F.col("TargetFids").alias("target_fids"))
+    return _message(link_states(spark, sf_dir), {"link_compact_state_body": body})
+
+
+def derive_verification_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order verifies an address; a fifth of them are removed a day later."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    address = codec.from_hex(digest("a:", key))
+    protocol = F.when(F.col("o_orderstatus") != "P", "Ethereum").otherwise("Solana")
+    body = F.struct(address.alias("address"), protocol.alias("protocol"))
+    at = clock.unix_of_wall_clock(F.col("o_orderdate")) - clock.unix_of_wall_clock(F.lit("1990-01-01").cast("timestamp"))
+    flat = orders.select(
+        "*",
+        F.col("o_custkey").alias("Fid"),
+        F.lit("Ed25519").alias("SignatureScheme"),
+        F.explode(F.when(key % 5 == 0, F.array(F.lit("add"), F.lit("gone"))).otherwise(F.array(F.lit("add")))).alias("kind"),
+    ).withColumns(
+        {
+            "Timestamp": at + F.when(F.col("kind") == "gone", 86_400).otherwise(0),
+            "Hash": digest(F.col("kind"), ":", key),
+            "MessageType": F.when(F.col("kind") == "add", "VerificationAddEthAddress").otherwise("VerificationRemove"),
+        }
+    )
+    added = F.col("kind") == "add"
+    return _message(
+        flat, {"verification_add_address_body": F.when(added, body), "verification_remove_body": F.when(~added, body)}
+    )
+
+
 def derive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event stream: merges of casts and links, prunes without a body."""
     ev = base_events(spark, sf_dir)
@@ -435,6 +484,9 @@ cast_messages = stored(derive_cast_messages)
 reaction_messages = stored(derive_reaction_messages)
 link_messages = stored(derive_link_messages)
 profile_messages = stored(derive_profile_messages)
+link_states = stored(derive_link_states)
+link_state_messages = stored(derive_link_state_messages)
+verification_messages = stored(derive_verification_messages)
 events = stored(derive_events)
 calls = stored(derive_calls)
 
@@ -444,6 +496,8 @@ MESSAGES = {
     "reactions": reaction_messages,
     "links": link_messages,
     "profiles": profile_messages,
+    "link_states": link_state_messages,
+    "verifications": verification_messages,
 }
 
 

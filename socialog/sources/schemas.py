@@ -39,8 +39,17 @@ CASTS = _flat(
 REACTIONS = _flat(ReactionType=_TEXT, TargetCastId=_TEXT, TargetUrl=_TEXT)
 LINKS = _flat(LinkType=_TEXT, TargetFid=_NUMBER, DisplayTimestamp=_NUMBER)
 PROFILES = _flat(UserDataType=_TEXT, Value=_TEXT, UserDataTypeReadable=_TEXT)
-
-FLAT = {"casts": CASTS, "reactions": REACTIONS, "links": LINKS, "profiles": PROFILES}
+VERIFICATIONS = _flat(Address=_TEXT, Protocol=_TEXT)
+LINK_STATES = _flat(LinkType=_TEXT, TargetFids=T.ArrayType(_NUMBER))
+
+FLAT = {
+    "casts": CASTS,
+    "reactions": REACTIONS,
+    "links": LINKS,
+    "profiles": PROFILES,
+    "verifications": VERIFICATIONS,
+    "link_states": LINK_STATES,
+}
 
 # Message types that belong to each table.
 MESSAGE_TYPES = {
@@ -48,6 +57,8 @@ MESSAGE_TYPES = {
     "reactions": ("ReactionAdd", "ReactionRemove"),
     "links": ("LinkAdd", "LinkRemove", "LinkCompactState"),
     "profiles": ("UserDataAdd",),
+    "verifications": ("VerificationAddEthAddress", "VerificationRemove"),
+    "link_states": ("LinkCompactState",),
 }
 
 CAST_ID = _record(fid=_NUMBER, hash=_BYTES)
@@ -68,6 +79,8 @@ BODIES = {
     "link_body": _record(type=_TEXT, target_fid=_NUMBER, displayTimestamp=_NUMBER),
     "user_data_body": _record(type=_TEXT, value=_TEXT),
     "verification_add_address_body": _record(address=_BYTES, protocol=_TEXT),
+    "verification_remove_body": _record(address=_BYTES, protocol=_TEXT),
+    "link_compact_state_body": _record(type=_TEXT, target_fids=T.ArrayType(_NUMBER)),
 }
 
 MESSAGE = _record(
@@ -99,6 +112,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def shaped(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A column in the type ``want``, fields taken by name at every depth; missing ones are NULL."""
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        given = {f.name: f.dataType for f in have.fields}
+        fields = [
+            (shaped(column[f.name], given[f.name], f.dataType) if f.name in given else F.lit(None).cast(f.dataType))
+            .alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(column, lambda x: shaped(x, have.elementType, want.elementType))
+    return column.cast(want)
+
+
 def build(schema: T.StructType, values: dict[str, Column]) -> list[Column]:
     """One typed column per field, NULL where ``values`` has none."""
     return [

@@ -31,10 +31,62 @@ def scan_events(spark: SparkSession, path: str, source: str = "parquet") -> Data
 
 
 def decode_messages(df: DataFrame, column: str, descriptor: str, name: str = "Message") -> DataFrame:
-    """Protobuf bytes to a nested column; needs Spark's protobuf package on the cluster."""
+    """Protobuf bytes to nested messages; needs Spark's protobuf package on the cluster."""
     from pyspark.sql.protobuf.functions import from_protobuf
 
-    return df.withColumn(column, from_protobuf(F.col(column), name, descriptor))
+    return decoded_messages(df.select(from_protobuf(F.col(column), name, descriptor).alias("m")).select("m.*"))
+
+
+# The prefixes of protobuf's enum names.
+_PREFIXES = (
+    "MESSAGE_TYPE", "FARCASTER_NETWORK", "HASH_SCHEME", "SIGNATURE_SCHEME",
+    "REACTION_TYPE", "USER_DATA_TYPE", "PROTOCOL",
+)
+_PREFIXED = f"^({'|'.join(_PREFIXES)})_"
+
+
+def plain_name(name: Column) -> Column:
+    """``MESSAGE_TYPE_CAST_ADD`` as ``CastAdd``; a name without a known prefix stays."""
+    words = F.replace(F.regexp_replace(name, _PREFIXED, ""), F.lit("_"), F.lit(" "))
+    plain = F.replace(F.initcap(words), F.lit(" "), F.lit(""))
+    return F.when(name.rlike(_PREFIXED), plain).otherwise(name)
+
+
+def decoded_messages(decoded: DataFrame) -> DataFrame:
+    """Messages as protobuf decodes them, in the declared schema and with plain type names.
+
+    Fields are taken by name, so those not declared are left out; numbers widen.
+    """
+    shape = decoded.select(
+        *[
+            (schemas.shaped(F.col(f.name), decoded.schema[f.name].dataType, f.dataType))
+            if f.name in decoded.columns
+            else F.lit(None).cast(f.dataType)
+            for f in schemas.MESSAGE.fields
+        ]
+    ).toDF(*schemas.MESSAGE.names)
+
+    def named(body: str, field: str) -> Column:
+        column = F.col("data")[body]
+        return F.when(column.isNotNull(), column.withField(field, plain_name(column[field])))
+
+    data = F.col("data")
+    for field in ("type", "network"):
+        data = data.withField(field, plain_name(F.col("data")[field]))
+    for body, field in (
+        ("reaction_body", "type"),
+        ("user_data_body", "type"),
+        ("verification_add_address_body", "protocol"),
+        ("verification_remove_body", "protocol"),
+    ):
+        data = data.withField(body, named(body, field))
+    return shape.withColumns(
+        {
+            "data": F.when(F.col("data").isNotNull(), data),
+            "hash_scheme": plain_name(F.col("hash_scheme")),
+            "signature_scheme": plain_name(F.col("signature_scheme")),
+        }
+    )
 
 
 def event_range(
