@@ -12,7 +12,7 @@ from socialog.plans.fixture_sql import with_views
 
 Build = Callable[[SparkSession, str], DataFrame]
 
-GROUPS = ("tables", "state", "analyses", "lookups", "operations", "streams", "messages", "upkeep")
+GROUPS = ("tables", "state", "analyses", "lookups", "operations", "streams", "messages", "upkeep", "storage")
 
 
 @dataclass(frozen=True)
