@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from socialog.functions.clock import DAY
-from socialog.operators.ordering import group_index, row_index, running_sums
+from socialog.operators.ordering import group_index, running_sums
+from socialog.session import written
 
 
 def _rows() -> Column:
@@ -142,8 +143,10 @@ def event_counts(events: DataFrame) -> DataFrame:
 def percentile_disc(df: DataFrame, column: str, q: float, accuracy: int = 10_000) -> float | None:
     """Exact q-quantile: the ceil(q n)-th smallest value.
 
-    ``percentile_approx`` brackets the value; only rows inside the bracket are
-    numbered. Should the bracket ever miss, all rows are.
+    Two passes: ``percentile_approx`` brackets the value, then the values inside the
+    bracket are counted, equal ones together. The counts are stored in order by range and
+    the task that holds the rank is told by the sums of all tasks. Should the
+    bracket ever miss, all values are counted.
     """
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     slack = 2.0 / accuracy
@@ -155,14 +158,27 @@ def percentile_disc(df: DataFrame, column: str, q: float, accuracy: int = 10_000
         return None
     rank = max(math.ceil(q * n), 1)
     low, high = bracket
-    inside = values.filter(F.col("v").between(low, high))
-    below, held = values.agg(
-        F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))
-    ).first()
-    if not below < rank <= below + held:
-        inside, below = values, 0
-    found = row_index(inside, "v").filter(F.col("row_index") == rank - below - 1).first()
-    return found["v"]
+    found = _at_rank(values.filter(F.col("v") <= high), low, rank)
+    return found if found is not None else _at_rank(values, None, rank)
+
+
+def _at_rank(values: DataFrame, low: float | None, rank: int) -> float | None:
+    """The ``rank``-th smallest value if it is ``low`` or more; values below are counted as one."""
+    held = F.col("v") if low is None else F.when(F.col("v") >= low, F.col("v"))
+    counts = values.groupBy(held.alias("v")).agg(_rows().alias("n"))
+    stored = written(
+        counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("task", F.spark_partition_id()),
+        "counts",
+    )
+    before = 0
+    # A row a task; NULL, the values below, sorts first.
+    for task in stored.groupBy("task").agg(F.sum("n").alias("n")).orderBy("task").collect():
+        if before + task["n"] >= rank:
+            upto = F.sum("n").over(Window.partitionBy("task").orderBy("v"))
+            here = stored.filter(F.col("task") == task["task"]).select("v", upto.alias("upto"))
+            return here.filter(F.col("upto") >= rank - before).orderBy("upto").first()["v"]
+        before += task["n"]
+    return None
 
 
 def latency_statistics(calls: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 Numbering range-partitions the rows, writes them once with their place (task
 number and position in the task) and adds the start of each task. Ties are
 spread by their scan position, so neither a hot value nor a pile of copies ends
-up in one task.
+up in one task. Within groups only the hot ones need that; the others are numbered by a
+window.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from socialog.session import written
 
+HOT_ROWS = 1_000_000  # rows of a group that one task sorts
 _TASK_BITS = 33  # monotonically_increasing_id keeps the position below this bit
 
 
@@ -53,14 +55,30 @@ def row_index(df: DataFrame, *order: Column | str, name: str = "row_index") -> D
 
 
 def group_index(
-    df: DataFrame, group: list[str], *order: Column | str, name: str = "group_index"
+    df: DataFrame,
+    group: list[str],
+    *order: Column | str,
+    name: str = "group_index",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """0-based number of each row within its group.
+    """0-based number of each row within its group; each row is shuffled once.
 
-    A group may span many tasks: rows are counted per (group, task) and only
-    these counts are summed per group. A NULL key is a group like any other.
+    Groups are counted first. Those of at most ``hot_rows`` rows are numbered by a window,
+    each in its task. A larger one may span many tasks: its rows are range-partitioned
+    and only what each task has of it is summed up, a row a task and hot group. A NULL
+    key is a group like any other.
     """
-    placed = _placed(df, [*group, *order]).withColumn("_group", F.struct(*group))
+    keyed = df.withColumn("_group", F.struct(*group))
+    hot = written(
+        keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select("_group"),
+        "hot-groups",
+    )
+    within = Window.partitionBy(*group).orderBy(*order)
+    number = (F.row_number().over(within) - 1).cast("long").alias(name)
+    if hot.isEmpty():
+        return df.select("*", number)
+    cold = keyed.join(hot, "_group", "left_anti").select(*df.columns, number)
+    placed = _placed(keyed.join(hot, "_group", "left_semi"), ["_group", *order])
     pieces = placed.groupBy("_group", "_task").agg(
         F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
@@ -72,11 +90,11 @@ def group_index(
         "_task",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    return (
-        placed.join(carried, ["_group", "_task"])
-        .withColumn(name, F.col("_at") + F.col("_shift"))
-        .drop("_group", "_task", "_at", "_shift")
+    # A row for each task and hot group at most: tasks, and rows / hot_rows.
+    numbered = placed.join(F.broadcast(carried), ["_group", "_task"]).select(
+        *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
     )
+    return cold.unionByName(numbered)
 
 
 def even_part(index: Column, total: Column, parts: int) -> Column:

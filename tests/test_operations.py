@@ -53,6 +53,14 @@ def test_percentile_disc_is_exact(spark, q):
     assert op.percentile_disc(df, "ms", q) == sorted(values)[rank - 1]
 
 
+def test_percentile_when_the_bracket_misses(spark):
+    df = spark.range(500).select((F.col("id") % 50).cast("double").alias("ms"))
+    values = df.select(F.col("ms").alias("v"))
+    assert op._at_rank(values, 40.0, 10) is None  # among the values below
+    assert op._at_rank(values.filter("v < 10"), None, 400) is None
+    assert op._at_rank(values, None, 10) == 0.0
+
+
 def test_percentile_of_nothing(spark):
     assert op.percentile_disc(spark.createDataFrame([], "ms double"), "ms", 0.99) is None
 

@@ -31,9 +31,10 @@ def test_copies_are_spread_over_tasks(spark):
     assert found == list(range(2000))
 
 
-def test_group_index_restarts_in_each_group(frame):
+@pytest.mark.parametrize("hot_rows", [1, 100, 1_000_000])
+def test_group_index_restarts_in_each_group(frame, hot_rows):
     seen = {}
-    rows = ordering.group_index(frame, ["g"], F.col("v").desc(), "id").collect()
+    rows = ordering.group_index(frame, ["g"], F.col("v").desc(), "id", hot_rows=hot_rows).collect()
     for r in rows:
         seen.setdefault(r["g"], []).append((r["group_index"], -r["v"], r["id"]))
     assert sum(map(len, seen.values())) == 3000
@@ -43,12 +44,28 @@ def test_group_index_restarts_in_each_group(frame):
         assert [m[1:] for m in members] == sorted(m[1:] for m in members)
 
 
-def test_group_index_keeps_null_groups(spark):
+@pytest.mark.parametrize("hot_rows", [1, 10])
+def test_group_index_keeps_null_groups(spark, hot_rows):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, v int")
-    rows = ordering.group_index(df, ["g"], "v").collect()
+    rows = ordering.group_index(df, ["g"], "v", hot_rows=hot_rows).collect()
     assert sorted((r["v"], r["group_index"]) for r in rows) == [(1, 0), (2, 1), (3, 0)]
 
 
+def test_groups_are_numbered_with_one_shuffle(frame):
+    plan = ordering.group_index(frame, ["g"], "v", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_a_hot_group_is_spread_over_tasks(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    hot = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("g"), "id").repartition(5)
+    numbered = ordering.group_index(hot, ["g"], "id", hot_rows=100)
+    tasks = numbered.filter("g = -1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 1500
+    found = numbered.filter("g = -1").orderBy("id").collect()
+    assert [r["group_index"] for r in found] == list(range(len(found)))
+
+
 def test_numbering_nothing(spark):
     none = spark.range(0)
     assert ordering.row_index(none, "id").count() == 0
