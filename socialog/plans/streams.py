@@ -9,7 +9,7 @@ from socialog.plans.catalog import query
 from socialog.plans.tables import NORMALIZED, normalized_texts
 from socialog.session import new_path
 from socialog.sources import schemas
-from socialog.streaming import delivery
+from socialog.streaming import delivery, rolled
 
 
 def event_files(spark, sf, files: int = 10) -> str:
@@ -185,3 +185,89 @@ def _(spark, sf):
     events = delivery.once_each(delivery.file_events(spark, source, max_files=1))
     _run(events.select("id", "type", "timestamp"), spark, sink)
     return spark.read.schema("id bigint, type string, timestamp bigint").parquet(sink)
+
+
+@query(
+    "queue_peek_details",
+    """SELECT event_id, octet_length(encode(
+                  '{"fid":' || fid || ',"hash":"' || hash || '","timestamp":' || timestamp || ',"text":"' || text || '"'
+                  || CASE WHEN embed_urls IS NULL THEN '' ELSE ',"embeds":[{"url":"' || embed_urls || '"}]' END
+                  || CASE WHEN mentions IS NULL THEN '' ELSE ',"mentions":[' || mentions || ']' END
+                  || CASE WHEN parent_hash IS NULL THEN '' ELSE ',"parent_hash":"' || parent_hash || '"' END
+                  || ',"event_id":' || event_id || ',"message_type":"' || message_type || '"'
+                  || ',"processed_at":' || processed_at || '}')) AS bytes,
+              now - processed_at AS waited_ms,
+              CASE WHEN now - processed_at < 1000 THEN (now - processed_at) || 'ms'
+                   WHEN now - processed_at < 60000
+                       THEN CAST(CAST((now - processed_at) / 1000 AS DECIMAL(20, 1)) AS VARCHAR) || 's'
+                   ELSE CAST(CAST((now - processed_at) / 60000 AS DECIMAL(20, 1)) AS VARCHAR) || 'm' END AS waited,
+              coalesce('URL: ' || embed_urls, '') AS embed_targets
+       FROM (SELECT *, (SELECT max(processed_at) FROM delivered) AS now FROM delivered)
+       WHERE queue = 'casts_add' ORDER BY event_id LIMIT 50""",
+    ("delivered",),
+)
+def _(spark, sf):
+    casts = delivery.normalized(fx.events(spark, sf))
+    now = casts.agg(F.max("processed_at")).first()[0]
+    return delivery.peek_details(delivery.to_queue_rows(casts), delivery.ADD_QUEUE, now, 50)
+
+
+@query(
+    "stream_rolled_queues",
+    f"SELECT queue, {NORMALIZED} FROM delivered",
+    ("delivered",),
+)
+def _(spark, sf):
+    """Small timed batches into files that are rolled by size."""
+    source, sink = event_files(spark, sf), new_path(spark, "rolled")
+    events = delivery.file_events(spark, source, max_files=2)
+    rows = delivery.to_queue_rows(delivery.normalized(events))
+    many = fx.events(spark, sf).count()
+    run = rolled.deliver(rows, sink, new_path(spark, "position"), every_ms=100, roll_rows=many // 4)
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    return normalized_texts(delivery.from_queue_rows(rolled.read(spark, sink)))
+
+
+@query(
+    "stream_to_consumer",
+    "SELECT queue, count(*) AS items, max(event_id) AS last_event_id FROM delivered GROUP BY queue",
+    ("delivered",),
+)
+def _(spark, sf):
+    """A consumer of our own gets each micro-batch and adds up what it holds."""
+    source, sink = event_files(spark, sf), new_path(spark, "consumed")
+
+    def consume(batch, number):
+        held = batch.groupBy("queue").agg(F.count(F.lit(1)).alias("items"), F.max("event_id").alias("last_event_id"))
+        held.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    rows = delivery.to_queue_rows(delivery.normalized(delivery.file_events(spark, source, max_files=3)))
+    run = delivery.deliver_batches(rows, sink, new_path(spark, "position"), every_ms=None, consumer=consume)
+    run.awaitTermination()
+    held = spark.read.schema("queue string, items bigint, last_event_id bigint").parquet(f"{sink}/batch=*")
+    return held.groupBy("queue").agg(F.sum("items").alias("items"), F.max("last_event_id").alias("last_event_id"))
+
+
+@query(
+    "stream_statistics",
+    """SELECT (SELECT count(*) FROM stream_events) AS received, count(*) AS kept, max(event_id) AS last_event_id
+       FROM delivered""",
+    ("delivered",),
+)
+def _(spark, sf):
+    """What a listener added up while files were delivered a few at a time."""
+    source = event_files(spark, sf)
+    rows = delivery.to_queue_rows(delivery.normalized(delivery.file_events(spark, source, max_files=3)))
+    statistics = delivery.Statistics(tell=lambda line: None)
+    spark.streams.addListener(statistics)
+    try:
+        run = delivery.deliver(rows, new_path(spark, "queues"), new_path(spark, "position"), every_ms=None)
+        run.awaitTermination()
+        statistics.finished.wait(30)
+    finally:
+        spark.streams.removeListener(statistics)
+    told = [tuple(statistics.totals[k] for k in ("received", "kept", "last_event_id"))]
+    return spark.createDataFrame(told, "received bigint, kept bigint, last_event_id bigint")

@@ -7,11 +7,14 @@ guard and the windowed counts keep state.
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from socialog.functions import clock, labels
 from socialog.operators import filters
@@ -308,3 +311,77 @@ def peek(rows: DataFrame, queue: str, n: int = 5) -> DataFrame:
         F.array_join("mentions", ",").alias("mentions"),
         "target_hash",
     )
+
+
+def peek_details(rows: DataFrame, queue: str, now_ms: int, n: int = 5, embeds: int = 3) -> DataFrame:
+    """Size, time in the queue and what embeds point to, of the first ``n`` items; nothing is removed."""
+    first = rows.filter(F.col("queue") == queue).orderBy("event_id").limit(n)
+    item = F.from_json("value", VALUE_SCHEMA)
+    told = first.select(F.octet_length("value").alias("bytes"), item.alias("v")).select("bytes", "v.*")
+    waited = F.lit(now_ms).cast("long") - F.col("processed_at")
+    target = F.transform(
+        F.slice(F.coalesce("embeds", F.array().cast(_EMBEDS)), 1, embeds),
+        lambda e: F.coalesce(
+            F.concat(F.lit("URL: "), e["url"]),
+            F.concat(F.lit("Cast: fid="), e["cast_id"]["fid"], F.lit(", hash="), e["cast_id"]["hash"]),
+        ),
+    )
+    return told.select(
+        "event_id",
+        "bytes",
+        waited.alias("waited_ms"),
+        F.when(waited < 1000, F.format_string("%dms", waited))
+        .when(waited < 60_000, F.concat((waited / 1000).cast("decimal(20,1)"), F.lit("s")))
+        .otherwise(F.concat((waited / 60_000).cast("decimal(20,1)"), F.lit("m")))
+        .alias("waited"),
+        F.array_join(target, "; ").alias("embed_targets"),
+    )
+
+
+_EMBEDS = "array<struct<url: string, cast_id: struct<fid: bigint, hash: string>>>"
+
+
+class Statistics(StreamingQueryListener):
+    """Tells what a watched stream received and delivered, at most every ``every`` seconds.
+
+    Counts come with each batch's progress: rows read, and the rows and highest id that
+    ``watched`` observed. ``tell`` gets one line; ``totals`` holds the sums.
+    """
+
+    def __init__(self, tell: Callable[[str], None] = print, every: float = 5.0, name: str = "delivery"):
+        self.tell, self.every, self.name = tell, every, name
+        self.totals = {"batches": 0, "received": 0, "kept": 0, "last_event_id": 0}
+        self.finished = threading.Event()  # set when a query has ended and all is counted
+        self._told = 0.0
+
+    def onQueryStarted(self, event) -> None:
+        self._told = time.monotonic()
+
+    def onQueryProgress(self, event) -> None:
+        progress, totals = event.progress, self.totals
+        if not progress.numInputRows:
+            return
+        totals["batches"] += 1
+        totals["received"] += progress.numInputRows
+        seen = progress.observedMetrics.get(self.name)
+        if seen is not None:
+            totals["kept"] += seen["items"]
+            totals["last_event_id"] = max(totals["last_event_id"], seen["last_event_id"])
+        if time.monotonic() - self._told >= self.every:
+            self._tell()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._tell()
+        self.finished.set()
+
+    def _tell(self) -> None:
+        self._told = time.monotonic()
+        t = self.totals
+        share = 100 * t["kept"] / t["received"] if t["received"] else 0.0
+        self.tell(
+            f"received {t['received']}, kept {t['kept']} ({share:.2f}%), "
+            f"batches {t['batches']}, last event {t['last_event_id']}"
+        )
