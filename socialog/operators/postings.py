@@ -1,7 +1,7 @@
 """Lookup by what a cast holds: an inverted table of mentions and embeds.
 
 A posting is (Kind, Term, Timestamp, Fid, Hash): a cast mentions a user, embeds a URL or
-a page of a host. Postings are stored by term, so a lookup reads the row groups of its
+a page of a host, or answers a cast or a URL. Postings are stored by term, so a lookup reads the row groups of its
 term alone and then fetches the casts; the casts' texts are never searched. Terms
 that very many casts share are cut by time like any other range.
 """
@@ -15,7 +15,7 @@ from socialog.functions import codec
 from socialog.operators.state import spread_distinct
 from socialog.sources import sinks
 
-MENTION, HOST, URL = "mention", "host", "url"
+MENTION, HOST, URL, PARENT = "mention", "host", "url", "parent"
 ROW_GROUP = 20_000
 
 
@@ -31,7 +31,8 @@ def postings(casts: DataFrame) -> DataFrame:
         return F.coalesce(term, F.array().cast("array<struct<Kind: string, Term: string>>"))
 
     mentions = F.array_distinct(codec.parse_mentions(F.col("Mentions")))
-    every = F.concat(terms(MENTION, mentions), terms(URL, urls), terms(HOST, hosts))
+    parents = F.array_remove(F.array("ParentCastId", "ParentUrl"), "")
+    every = F.concat(terms(MENTION, mentions), terms(URL, urls), terms(HOST, hosts), terms(PARENT, parents))
     return (
         casts.filter(F.col("MessageType") == "CastAdd")
         .select(F.explode(every).alias("_term"), "Timestamp", "Fid", "Hash")

@@ -31,7 +31,10 @@ _EMBEDDED = """SELECT Fid, Hash, Timestamp,
         SELECT *, unnest(list_distinct(string_split(Mentions, ','))) AS m FROM live_casts WHERE Mentions <> '')
     UNION ALL SELECT DISTINCT 'url', url, Timestamp, Fid, Hash FROM ({_EMBEDDED})
     UNION ALL SELECT DISTINCT 'host', lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)), Timestamp, Fid, Hash
-              FROM ({_EMBEDDED})""", ("live_casts",))
+              FROM ({_EMBEDDED})
+    UNION ALL SELECT 'parent', ParentCastId, Timestamp, Fid, Hash FROM live_casts WHERE ParentCastId <> ''
+    UNION ALL SELECT 'parent', ParentUrl, Timestamp, Fid, Hash FROM live_casts WHERE ParentUrl <> ''""",
+    ("live_casts",))
 def _(spark, sf):
     return _postings(spark, sf)
 
@@ -46,6 +49,17 @@ def _(spark, sf):
     return postings.casts_of(found, fx.casts(spark, sf))
 
 
+@query(
+    "casts_by_parent_by_postings",
+    "SELECT * FROM live_casts WHERE ParentCastId = '3:0x' || md5('c:3:0')",
+    ("live_casts",),
+)
+def _(spark, sf):
+    parent = spark.range(1).select(F.concat(F.lit("3:"), fx.digest("c:", F.lit(3), ":", F.lit(0)))).first()[0]
+    found = postings.of_term(_postings(spark, sf), postings.PARENT, parent)
+    return postings.casts_of(found, fx.casts(spark, sf))
+
+
 @query(
     "newest_casts_linking_a_site",
     f"""SELECT * FROM live_casts WHERE Embeds LIKE '%"url": "{SITE}%'
