@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,12 +96,50 @@ def sized_shuffles(spark: SparkSession, *folders: str) -> Iterator[int]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())  # paths by open scope
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a table of ours, in whatever store it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` within are deleted at the end.
+
+    What leaves the block must come from tables written with ``keep``, which belong to
+    the block around it, if there is one.
+    """
+    paths: list[str] = []
+    before = _SCRATCH.set((*_SCRATCH.get(), paths))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        for path in paths:
+            remove(spark, path)
+
+
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
-    Cuts the lineage at a table that outlives lost executors.
+    Cuts the lineage at a table that outlives lost executors; the shuffles that led to
+    it are dropped once it stands.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    scopes = _SCRATCH.get()
+    if keep:
+        scopes = scopes[:-1]
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -34,5 +34,27 @@ def test_written_keeps_rows_and_schema(spark):
     assert session.shared_folder(spark) in back.inputFiles()[0]
 
 
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    def path(df):
+        return Path(df.inputFiles()[0].removeprefix("file://")).parent
+
+    with session.scratch(spark):
+        outer = path(session.written(spark.range(3), "outer"))
+        with session.scratch(spark):
+            inner = path(session.written(spark.range(3), "inner"))
+            kept = session.written(spark.range(3), "kept", keep=True)
+        assert not inner.exists() and outer.exists() and kept.count() == 3
+        last = session.written(spark.range(4), "last", keep=True)
+    assert not outer.exists() and not path_exists(kept) and last.count() == 4
+    with pytest.raises(ZeroDivisionError), session.scratch(spark):
+        lost = path(session.written(spark.range(3), "lost"))
+        raise ZeroDivisionError
+    assert not lost.exists()
+
+
+def path_exists(df):
+    return Path(df.inputFiles()[0].removeprefix("file://")).exists()
+
+
 def test_folders_are_never_shared_by_two_runs(spark):
     assert session.new_path(spark, "x") != session.new_path(spark, "x")
