@@ -86,12 +86,12 @@ def flatten_verifications(messages: DataFrame) -> DataFrame:
 
 
 def flatten_link_states(messages: DataFrame) -> DataFrame:
-    """Compact link messages: the whole list of targets of a user and link type."""
+    """Compact link messages: the whole list of targets of a user and link type, as text like mentions."""
     body = F.col(DATA)["link_compact_state_body"]
     return messages.select(
         *common_columns(),
         or_blank(body["type"]).alias("LinkType"),
-        F.coalesce(body["target_fids"], F.array().cast("array<bigint>")).alias("TargetFids"),
+        codec.mentions_text(body["target_fids"]).alias("TargetFids"),
     )
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from socialog.functions import codec
+
 REACTION_KEY = ("Fid", "TargetCastId", "ReactionType")
 REACTION_KEY_WITH_URL = (*REACTION_KEY, "TargetUrl")
 LINK_KEY = ("Fid", "TargetFid", "LinkType")
@@ -239,7 +241,8 @@ def compacted_log(log: DataFrame, compacts: DataFrame) -> DataFrame:
         .filter(F.col("_since").isNull() | (F.col("Timestamp") > F.col("_since")))
         .select(*log.columns)
     )
-    listed = newest.withColumn("TargetFid", F.explode(F.array_distinct("TargetFids")))
+    targets = F.array_distinct(codec.parse_mentions(F.col("TargetFids")))
+    listed = newest.withColumn("TargetFid", F.explode(targets))
     blank = {f.name: F.lit(0 if f.dataType.typeName() == "long" else "") for f in log.schema.fields}
     given = {name: F.col(name) for name in listed.columns if name in blank}
     adds = listed.select(

@@ -266,13 +266,13 @@ def derive_link_states(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Timestamp": sec - sec % 3600 - clock.EPOCH,
             "Hash": digest("k:", F.col("event_id")),
             "LinkType": F.lit("follow"),
-            "TargetFids": F.array(k % 10, (k + 3) % 10, (k + 7) % 10),
+            "TargetFids": F.concat_ws(",", k % 10, (k + 3) % 10, (k + 7) % 10),
         },
     )
 
 
 def derive_link_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = F.struct(F.col("LinkType").alias("type"), F.col("TargetFids").alias("target_fids"))
+    body = F.struct(F.col("LinkType").alias("type"), codec.parse_mentions(F.col("TargetFids")).alias("target_fids"))
     return _message(link_states(spark, sf_dir), {"link_compact_state_body": body})
 
 

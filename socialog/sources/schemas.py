@@ -40,7 +40,7 @@ REACTIONS = _flat(ReactionType=_TEXT, TargetCastId=_TEXT, TargetUrl=_TEXT)
 LINKS = _flat(LinkType=_TEXT, TargetFid=_NUMBER, DisplayTimestamp=_NUMBER)
 PROFILES = _flat(UserDataType=_TEXT, Value=_TEXT, UserDataTypeReadable=_TEXT)
 VERIFICATIONS = _flat(Address=_TEXT, Protocol=_TEXT)
-LINK_STATES = _flat(LinkType=_TEXT, TargetFids=T.ArrayType(_NUMBER))
+LINK_STATES = _flat(LinkType=_TEXT, TargetFids=_TEXT)
 
 FLAT = {
     "casts": CASTS,
