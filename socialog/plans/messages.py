@@ -108,7 +108,7 @@ def _as_protobuf_names(messages):
             full("MESSAGE_TYPE", data["type"]).alias("type"),
             data["fid"].alias("fid"),
             data["timestamp"].cast("int").alias("timestamp"),
-            full("FARCASTER_NETWORK", data["network"]).alias("network"),
+            full("SOCIAL_NETWORK", data["network"]).alias("network"),
             F.when(data["cast_add_body"].isNotNull(), body).alias("cast_add_body"),
             data["cast_remove_body"].alias("cast_remove_body"),
         ).alias("data"),

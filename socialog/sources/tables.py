@@ -39,7 +39,7 @@ def decode_messages(df: DataFrame, column: str, descriptor: str, name: str = "Me
 
 # The prefixes of protobuf's enum names.
 _PREFIXES = (
-    "MESSAGE_TYPE", "FARCASTER_NETWORK", "HASH_SCHEME", "SIGNATURE_SCHEME",
+    "MESSAGE_TYPE", "[A-Z]+_NETWORK", "HASH_SCHEME", "SIGNATURE_SCHEME",
     "REACTION_TYPE", "USER_DATA_TYPE", "PROTOCOL",
 )
 _PREFIXED = f"^({'|'.join(_PREFIXES)})_"

@@ -152,7 +152,7 @@ def test_a_removed_address_is_nobodys(spark):
 
 @pytest.mark.parametrize("name, plain", [
     ("MESSAGE_TYPE_VERIFICATION_ADD_ETH_ADDRESS", "VerificationAddEthAddress"), ("HASH_SCHEME_BLAKE3", "Blake3"),
-    ("SIGNATURE_SCHEME_ED25519", "Ed25519"), ("FARCASTER_NETWORK_MAINNET", "Mainnet"), ("follow", "follow"),
+    ("SIGNATURE_SCHEME_ED25519", "Ed25519"), ("SOCIAL_NETWORK_MAINNET", "Mainnet"), ("follow", "follow"),
     ("REACTION_TYPE_LIKE", "Like"), ("PROTOCOL_ETHEREUM", "Ethereum"), (None, None),
 ])
 def test_plain_names(spark, name, plain):
