@@ -35,6 +35,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 TOGETHER = 512  # words a tokenizer call takes
 VISIBLE = frozenset(c for c in map(chr, range(0x21, 0x1680)) if c.isprintable() and not c.isspace())
 TEXTS = 1000  # texts whose ids are held at a time
+LATELY = 600_000  # words, about, whose ids a task remembers
 
 
 def _glued(parts: list[str], row: list[int]) -> list[str]:
@@ -72,6 +73,7 @@ def encoder(tokenizer):
         return np.concatenate(flat), np.concatenate(counts)
 
     known = Known(spelled, lambda word: word[:1] not in VISIBLE)
+    known.LATELY = LATELY
 
     def encoded(texts: list[str]) -> Iterator[np.ndarray]:
         known.forget()
