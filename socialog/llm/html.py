@@ -10,9 +10,12 @@ and embedded HTML. The tree is then rendered:
 white space collapses except in ``pre``, blocks start on a line of their own,
 paragraphs, headings, lists and tables stand between blank lines, list items carry
 their mark and are indented by depth, and table cells are filled up so that columns
-line up. All visible text is kept; nothing is judged as boilerplate.
+line up, those under a cell of several columns or rows too. Of a closed ``details`` the
+summary is shown, a closed ``dialog`` not. All visible text is kept; nothing is judged as
+boilerplate.
 
-Both steps use explicit stacks, so depth is no limit. Defined results: NULL gives
+Both steps use explicit stacks, so depth is no limit, and a tag costs the same at any
+depth; a page that ends inside a tag is read once. Defined results: NULL gives
 NULL, an empty page or one without visible text the empty string; broken markup is
 read as text where it can't be a tag. Repeated rows are kept. The added column
 replaces one of the same name, all others are kept.
@@ -21,6 +24,9 @@ replaces one of the same name, all others are kept.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterable
+from dataclasses import dataclass
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -74,12 +80,15 @@ IN_HEAD = frozenset("base link meta script style title noscript template".split(
 
 TAG = re.compile(
     r"<!--(?:-?>|.*?--!?>|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    # A ">" in quotes doesn't end a tag, unless no other is left. Nothing is matched twice.
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+(?=>)|[^>]*+)>",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")
 STYLE = re.compile(r"(?<![\w-])(display|visibility|content-visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
+COLUMNS, ROWS = 1000, 65_534  # the largest spans
+GAP = 2  # blanks between columns
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -93,52 +102,90 @@ class Node:
         self.foreign = ""  # svg or math, of such an element and what is below it
 
 
+class Open:
+    """The open elements, outermost first, with the depths at which each name stands.
+
+    So no closing tag looks through the elements that stay open.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.depths: dict[str, list[int]] = {}  # the root's is left out: it can't be closed
+
+    @property
+    def last(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.name, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """End the element at ``depth`` and all within it."""
+        for node in self.nodes[depth:]:
+            self.depths[node.name].pop()
+        del self.nodes[depth:]
+
+    def drop(self) -> None:
+        self.cut(len(self.nodes) - 1)
+
+    def innermost(self, names: Iterable[str]) -> int:
+        """Depth of the innermost element of these names, 0 without any."""
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+    def close(self, names: frozenset[str], border: frozenset[str]) -> None:
+        """End the outermost of ``names`` within the innermost of ``border``."""
+        edge = self.innermost(border)
+        found = []
+        for name in names:
+            depths = self.depths.get(name, [])
+            at = bisect_right(depths, edge)
+            found += depths[at : at + 1]
+        if found:
+            self.cut(min(found))
+
+    def close_one(self, name: str, border: frozenset[str]) -> None:
+        """End the innermost open ``name``, and all within it, if no border is in between."""
+        depth = self.innermost((name,))
+        if depth and depth >= self.innermost(border):
+            self.cut(depth)
+
+
 def tree(page: str) -> Node:
     """The element tree of a page."""
     root = Node("html")
-    open_nodes = [root]
-    at = 0
-
-    def close(names: frozenset[str], border: frozenset[str]) -> None:
-        outermost = None
-        for depth in range(len(open_nodes) - 1, 0, -1):
-            if open_nodes[depth].name in border:
-                break
-            if open_nodes[depth].name in names:
-                outermost = depth
-        if outermost:
-            del open_nodes[outermost:]
+    opened = Open(root)
+    at, last_end = 0, page.rfind(">")
 
     def text(part: str) -> None:
         if part:
-            if open_nodes[-1].name == "head" and part.strip():
-                del open_nodes[-1]  # text can't be in the head
-            open_nodes[-1].inside.append(unescape(part))
+            if opened.last.name == "head" and part.strip():
+                opened.drop()  # text can't be in the head
+            opened.last.inside.append(unescape(part))
 
-    while (found := TAG.search(page, at)) is not None:
+    while at <= last_end and (found := TAG.search(page, at)) is not None:
         text(page[at : found.start()])
         at = found.end()
         if found["data"] is not None:
-            open_nodes[-1].inside.append(found["data"])
+            opened.last.inside.append(found["data"])
         if not found["name"]:
             continue
         name = found["name"].lower()
         if found["end"]:
-            if name == "p" and all(n.name != "p" for n in open_nodes):
-                open_nodes[-1].inside.append(Node("p"))
+            if name == "p" and not opened.depths.get("p"):
+                opened.last.inside.append(Node("p"))
             elif name != "html":
-                border = frozenset() if name in FREE else BORDER
-                close_one(open_nodes, name, border)
+                opened.close_one(name, frozenset() if name in FREE else BORDER)
             continue
-        if open_nodes[-1].name == "head" and name not in IN_HEAD:
-            del open_nodes[-1]
+        if opened.last.name == "head" and name not in IN_HEAD:
+            opened.drop()
         if name in ENDS_FOREIGN:
-            while open_nodes[-1].foreign and open_nodes[-1].name not in HTML_AGAIN:
-                del open_nodes[-1]
+            while opened.last.foreign and opened.last.name not in HTML_AGAIN:
+                opened.drop()
         if name in ENDS_P:
-            close_one(open_nodes, "p", BORDER | {"button"})
+            opened.close_one("p", BORDER | {"button"})
         if name in IMPLIED:
-            close(IMPLIED[name][0], IMPLIED[name][1] | {"foreignobject"})
+            opened.close(IMPLIED[name][0], IMPLIED[name][1] | {"foreignobject"})
         attributes = {
             m[1].lower(): unescape(m[2] or m[3] or m[4] or "")
             for m in ATTRIBUTE.finditer(found["rest"])
@@ -147,7 +194,7 @@ def tree(page: str) -> Node:
         if name == "html":
             root.attributes = attributes | root.attributes
             continue
-        above = open_nodes[-1]
+        above = opened.last
         above.inside.append(node)
         node.foreign = name if name in FOREIGN else "" if above.name in HTML_AGAIN else above.foreign
         if node.foreign and found["rest"].endswith("/") and not UNQUOTED.search(found["rest"]):
@@ -158,24 +205,17 @@ def tree(page: str) -> Node:
             node.inside.append(unescape(raw) if name in ("textarea", "title") else raw)
             at = end.end() if end else len(page)
         elif name not in VOID:
-            open_nodes.append(node)
-    text(page[at:])
+            opened.push(node)
+    comment = page.find("<!--", at)  # behind the last tag; one that is not closed takes the rest
+    text(page[at : comment if comment >= 0 else len(page)])
     return root
 
 
-def close_one(open_nodes: list[Node], name: str, border: frozenset[str]) -> None:
-    """End the innermost open ``name``, and all within it, if no border is in between."""
-    for depth in range(len(open_nodes) - 1, 0, -1):
-        if open_nodes[depth].name == name:
-            del open_nodes[depth:]
-            return
-        if open_nodes[depth].name in border:
-            return
-
-
 def shown(node: Node, style: dict[str, str]) -> bool:
     if node.name in UNSEEN or "hidden" in node.attributes:
         return False
+    if node.name == "dialog" and "open" not in node.attributes:
+        return False
     if node.foreign == "svg" and node.name in UNDRAWN:
         return False
     if node.name == "input" and node.attributes.get("type", "").lower() == "hidden":
@@ -244,18 +284,58 @@ class Page:
         return self.lines
 
 
-def grid(rows: list[list[list[str]]]) -> list[str]:
-    """Lines of a table whose columns line up."""
-    columns = max(map(len, rows), default=0)
-    widths = [
-        max((len(line) for row in rows if i < len(row) for line in row[i]), default=0)
-        for i in range(columns)
-    ]
-    out = []
+@dataclass
+class Cell:
+    lines: list[str]
+    wide: int = 1  # columns it takes
+    high: int = 1  # rows
+
+
+def _span(given: str, most: int) -> int:
+    return min(max(int(given), 1), most) if given.isdecimal() and len(given) < 10 else 1
+
+
+def grid(rows: list[list[Cell]]) -> list[str]:
+    """Lines of a table whose columns line up.
+
+    A cell that spans columns starts in its first and pushes the last apart if it is
+    wider than all; one that spans rows keeps its columns free below it. Beyond column
+    COLUMNS a cell takes one column.
+    """
+    taken: dict[int, int] = {}  # rows, this one included, for which a column is still taken
+    placed: list[list[tuple[int, Cell]]] = []
     for row in rows:
-        for at in range(max(map(len, row), default=0)):
-            cells = [(c[at] if at < len(c) else "").ljust(w) for c, w in zip(row, widths, strict=False)]
-            out.append("  ".join(cells).rstrip())
+        at, here = 0, []
+        for cell in row:
+            while taken.get(at):
+                at += 1
+            here.append((at, cell))
+            wide = cell.wide if at + cell.wide <= COLUMNS else 1
+            cell.wide = wide
+            if cell.high > 1:
+                taken.update(dict.fromkeys(range(at, at + wide), cell.high))
+            at += wide
+        placed.append(here)
+        taken = {c: left - 1 for c, left in taken.items() if left > 1}
+    columns = max((at + cell.wide for here in placed for at, cell in here), default=0)
+    begun = {at for here in placed for at, _ in here}
+    gaps = [GAP if i and i in begun else 0 for i in range(columns)]  # before each column in which a cell starts
+    widths = [0] * columns
+    every = sorted((cell.wide, at, max(map(len, cell.lines), default=0)) for here in placed for at, cell in here)
+    for wide, at, needed in every:
+        held = sum(widths[at : at + wide]) + sum(gaps[at + 1 : at + wide])
+        widths[at + wide - 1] += max(0, needed - held)
+    start = [0] * columns
+    for i in range(1, columns):
+        start[i] = start[i - 1] + widths[i - 1] + gaps[i]
+    out = []
+    for here in placed:
+        for k in range(max((len(cell.lines) for _, cell in here), default=0)):
+            line = ""
+            for at, cell in here:
+                if k < len(cell.lines):
+                    line = line.ljust(start[at]) + cell.lines[k]
+            out.append(line.rstrip())
     return out
 
 
@@ -269,7 +349,7 @@ def displayed(node: Node) -> bool:
 def rendered(root: Node) -> str:
     """All visible text of a tree, laid out."""
     pages = [Page()]
-    tables: list[list[list[list[str]]]] = []
+    tables: list[list[list[Cell]]] = []
     lists: list[list] = []  # kind and number of each open list
     indents: list[str] = []
     kept = 0
@@ -286,7 +366,8 @@ def rendered(root: Node) -> str:
         name = node.name
         if leaving:
             if name in CELLS and tables:
-                tables[-1][-1].append(pages.pop().text())
+                wide, high = (node.attributes.get(k, "") for k in ("colspan", "rowspan"))
+                tables[-1][-1].append(Cell(pages.pop().text(), _span(wide, COLUMNS), _span(high, ROWS)))
                 continue
             if name == "table":
                 for line in grid(tables.pop()):
@@ -361,6 +442,8 @@ def rendered(root: Node) -> str:
             kept += 1
         todo.append((node, True, visible, drawn))
         parts = node.inside
+        if name == "details" and "open" not in node.attributes:
+            parts = [part for part in parts if isinstance(part, Node) and part.name == "summary"][:1]
         if node.foreign == "math" and name in ("mfrac", "mtr"):
             parts = [part for inside in parts for part in (inside, " ")]
         todo.extend((inside, False, visible, drawn) for inside in reversed(parts))

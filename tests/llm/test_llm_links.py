@@ -183,7 +183,8 @@ def test_lines_of_documents(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_says_the_same(spark, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for given in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {given} AS SELECT * FROM '{DATA}/{given}.parquet'")
     found = duck.execute(ORACLE[name])
     columns = [c[0] for c in found.description]
     rows = QUERIES[name](spark, DATA).select(*columns).collect()
@@ -231,6 +232,13 @@ def test_fingerprints_match_bit_by_bit():
         assert simhash.fingerprint(text) == slow_fingerprint(text)
 
 
+def test_fingerprints_of_texts_longer_than_a_block(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(n)) for n in (9, 10, 11, 12, 13, 64)]
+    monkeypatch.setattr(simhash, "BLOCK", 5)
+    assert [simhash.fingerprint(t) for t in texts] == [slow_fingerprint(t) for t in texts]
+
+
 def test_decoder_is_perfect():
     decode = simhash.decoder()
     assert (np.bincount(decode, minlength=4096) == 2048).all()
@@ -368,3 +376,17 @@ def test_components(spark, shape):
     linked = {n for a, b in pairs if a != b for n in (a, b)}
     assert {r["node"]: r["root"] for r in found} == {n: root[n] for n in linked}
     assert len(found) == len(linked)
+
+
+def test_buckets_bound_what_sets_share():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        shared = rng.integers(-(1 << 63), (1 << 63) - 1, rng.integers(0, 400))
+        a, b = (np.unique(np.concatenate([shared, rng.integers(-(1 << 63), (1 << 63) - 1, rng.integers(0, 300))])) for _ in "ab")
+        if len(a) and len(b):
+            most = similar.most_shared(similar.buckets(a), similar.buckets(b))
+            assert len(np.intersect1d(a, b)) <= most <= min(len(a), len(b))
+    same = np.arange(300, dtype=np.int64)  # all in one range
+    assert similar.buckets(same) == b"" and similar.buckets(same[:0]) == b""
+    far = rng.integers(-(1 << 63), (1 << 63) - 1, (2, 3000))
+    assert 9 * similar.most_shared(*(similar.buckets(np.unique(x)) for x in far)) < 4 * 6000

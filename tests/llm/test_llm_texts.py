@@ -2,12 +2,15 @@
 
 import math
 import random
+import time
 import zlib
 
+import numpy as np
 import pytest
 import sentencepiece
 from conftest import DATA
 from llm_frames import DOCS, by_id, docs
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from socialog.llm import html, langid, pieces, toxicity
@@ -55,6 +58,57 @@ def test_maximal_runs_match_the_definition():
         assert all(math.isclose(x[2], y[2]) for x, y in zip(found, wanted, strict=True))
 
 
+def test_decay_solves_its_equation():
+    # A word scores 1 with probability 1/5 and -1 else: lambda is log(4).
+    assert math.isclose(toxicity._decay(np.array([1.0]), np.array([0.2]), 1.0), math.log(4), rel_tol=1e-9)
+    scores, rates, drift = np.array([0.7, 2.5]), np.array([0.05, 0.01]), 0.3
+    at = toxicity._decay(scores, rates, drift)
+    mean = (1 - rates.sum()) * math.exp(-at * drift) + (rates * np.exp(at * scores)).sum()
+    assert math.isclose(mean, 1, rel_tol=1e-9)
+
+
+def test_runs_of_clean_texts_are_as_rare_as_expected():
+    """Extreme values: scale fitted on some clean texts, held against others."""
+    rng = np.random.default_rng(8)
+    scores, rates, drift = {"bad": 1.0, "worse": 2.0}, np.array([0.05, 0.01]), 0.2
+    decay = toxicity._decay(np.array([1.0, 2.0]), rates, drift)
+
+    def texts(n):
+        sizes = rng.integers(30, 400, n)
+        return [" ".join(rng.choice(["bad", "worse", "fine"], k, p=[0.05, 0.01, 0.94])) for k in sizes]
+
+    def model(scale):
+        return toxicity.Model(scores, {}, (), drift, decay, scale, 0.05, 0.0, 1.0)
+
+    def best(scorer, some):
+        found = [scorer.runs(t) for t in some]
+        return np.array([(n, max((r[2] for r in runs), default=0.0)) for n, runs in found])
+
+    fitted = best(toxicity.Scorer(model(1.0)), texts(1500))
+    scale = len(fitted) / (fitted[:, 0] * np.exp(-decay * fitted[:, 1])).sum()
+    scorer = toxicity.Scorer(model(scale))
+    for level in (0.02, 0.05, 0.2):
+        fresh = best(scorer, texts(1500))
+        rare = np.mean([scorer.excess(n, s) > -math.log(level) for n, s in fresh])
+        assert level / 3 < rare < 2 * level  # an expected number of ``level``: about that share of texts
+
+
+def test_logistic_fit_is_the_best_one():
+    rng = np.random.default_rng(4)
+    x = rng.exponential(1, 400)
+    y = (rng.random(400) < 1 / (1 + np.exp(2 - 1.5 * x))).astype(float)
+    weight = np.where(y == 1, 0.5, 1.3)
+
+    def loss(a, b):
+        at = a + b * x
+        held = 0.5 * (1e-6 * a * a + 1e-2 * b * b)
+        return (weight * (np.logaddexp(0, at) - y * at)).sum() + held
+
+    a, b = toxicity._logistic(x, y, weight)
+    assert all(loss(a, b) <= loss(a + i, b + j) for i in (-1e-3, 0, 1e-3) for j in (-1e-3, 0, 1e-3))
+    assert toxicity._logistic(x, 1 - y, weight)[1] == 0.0  # never falling
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     texts = []
@@ -140,6 +194,18 @@ def test_language_matches_the_tables_and_the_labels(spark, languages):
     assert all(0 < r["score"] <= 1 for r in rows)
 
 
+def test_learned_tables_are_counts(spark):
+    texts = [("Aa b aa", "x"), ("b ccc!", "x"), ("AA ccc ccc", "y"), (None, "y"), ("zz", None)]
+    given = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = langid.learn(given, F.lit(True), longest=2)
+    assert model.languages == ["x", "y"]
+    cost = lambda n, of: pytest.approx(-math.log10(n / of))
+    words = model.tables[0]
+    assert set(words) == {"aa", "b", "ccc"}
+    assert words["aa"] == (cost(2, 5), cost(1, 3)) and words["ccc"] == (cost(1, 5), cost(2, 3))
+    assert words["b"][0] == cost(2, 5) and words["b"][1] > max(words["aa"])
+
+
 def test_language_of_awkward_texts(spark, languages):
     texts = [None, "", " \n12 34 !", "漢字 仮名", "the", "THE The the", "the of and " * 100_000]
     odd = docs(spark, texts).withColumn("Score", F.lit("old"))
@@ -177,6 +243,14 @@ PAGES = {
     "<table><tr><th>Name<th>N<tr><td>long name<td>1<tr><td>b<td>22</table>": (
         "Name       N\nlong name  1\nb          22"
     ),
+    "<table><tr><td colspan=2>wide<td>C<tr><td>a<td>b<td>c</table>": "wide  C\na  b  c",
+    "<table><tr><td colspan=2>a wide cell<td>C<tr><td>a<td>b<td>c</table>": "a wide cell  C\na  b         c",
+    "<table><tr><td rowspan=2>tall<td>x<tr><td>y<tr><td>z<td>w</table>": "tall  x\n      y\nz     w",
+    "<table><tr><td colspan=99999999>a<td colspan=0>b<td rowspan=x>c</table>": "a  b  c",
+    "<details><summary>S</summary>no</details><dialog>no</dialog><dialog open>yes</dialog>": "S\nyes",
+    "<details open><summary>S</summary>yes</details>": "S\nyes",
+    "<a title='x>y'>in</a> <a title='x>y out": "in y out",
+    "x <a href='q' <b>bold</b>": "x bold",
     "<table><tr><td>a<table><tr><td>b<td>c</table><td>d</table>": "a     d\n\nb  c",
     "<pre>  k\n   l</pre>": "  k\n   l",
     "<pre>\na\n\n\n  b\n</pre>c": "a\n\n\n  b\n\nc",
@@ -264,6 +338,14 @@ def test_pieces_match_the_library(library, encoder):
     assert encoder([None]) == [None]
 
 
+def test_pieces_across_blocks(library, monkeypatch):
+    monkeypatch.setattr(pieces, "BLOCK", 40)
+    rng = random.Random(6)
+    some = pieces.Encoder(pieces.vocabulary(MODEL))
+    texts = [" ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 60))) for _ in range(20)) for _ in range(30)]
+    assert [ids.tolist() for ids in some(texts)] == [library.encode(t) for t in texts]
+
+
 def test_pieces_of_documents(spark, library):
     rows = by_id(QUERIES["op9_pieces"](spark, DATA))
     for r in table(spark, DATA, "documents").collect():
@@ -279,3 +361,31 @@ def test_pieces_of_awkward_rows(spark):
     assert found[0]["ids"] is None and found[0]["decoded"] is None
     assert found[1]["ids"] == [] and found[1]["decoded"] == "" and found[2]["decoded"] == "a"
     assert pieces.encode(spark.createDataFrame([], DOCS), MODEL).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ("x<a title=" + "\"'" * 250, "x<a title=" + "\"'" * 250), ("x<img " + "a='b' " * 300, "x<img " + "a='b' " * 300),
+    ("<div>" * 100_000 + "x", "x"), ("<b>" * 100_000 + "x" + "</i>" * 100_000, "x"), ("<a " * 100_000, "<a " * 100_000),
+    ("<table><tr><td>" * 3000 + "x", "x"),
+])
+def test_no_page_takes_long(page, text):
+    started = time.process_time()
+    assert html.visible_text(page).split() == text.split()
+    assert time.process_time() - started < 10
+
+
+def test_a_bound_on_the_hash_changes_no_sample(spark):
+    rows = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 9 == 0, "b").otherwise("a").alias("lang"), F.lit("t").alias("text")
+    )
+    rows = rows.union(rows.filter("doc_id < 50"))
+    for size in (10, 200, 3000):
+        first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+
+        def chosen(some, first=first, size=size):
+            return sorted(some.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= size).collect())
+
+        early = rows.filter(langid._early(rows, size))
+        assert chosen(early) == chosen(rows)
+        if size < 200:
+            assert early.count() < 6 * size
