@@ -3,13 +3,14 @@
 A line is the set of its words. Two lines match if their Jaccard similarity is 4/5
 or more. A line is removed if an earlier line (by id, then place) matches it.
 
-Lines with equal sets are one class, so copies cost one row. The words of a class
+Lines with equal sets are one class, so copies cost one row; equal sets are told by two
+64-bit hashes of the sorted hashes of their words. The words of a class
 are ordered by rarity (exact counts over all lines in ``BUCKETS`` hash buckets, in
 logarithmic steps, ties by hash). Two classes that match share ``SHARED`` words among
 the first ``n - ceil(4n/5) + SHARED`` of each (prefix filter); with sizes within 4/5 of
-each other (length filter) and enough words after the last shared one (positional
-filter) they are candidates, whose word sets are then compared. The hash of a word
-is only ever used to find candidates. For the comparison, lines are fetched by
+each other (length filter) and enough words from the first shared one on (positional
+filter) they are candidates, whose word sets are then compared, word by word. The join by
+shared word applies all three, so only candidates are shuffled. For the comparison, lines are fetched by
 place; a bit set of fixed size keeps most lines that nobody asked for from moving.
 
 All lines of a class whose first line comes after the first line of a matching
@@ -27,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from socialog.llm.base import free_name
-from socialog.session import written
+from socialog.session import scratch, written
 
 BUCKETS = 1 << 19
 RANK_BITS = 6
+RANK_0 = 48  # the byte of rank 0; the last is still ASCII
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
 SHARED = 3  # words that the prefixes of a match have in common; sets of PART words allow it
@@ -54,7 +56,7 @@ def _placed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """Rank of each hash bucket: in steps of the logarithm of how often its words occur."""
+    """Rank of each hash bucket, a byte: in steps of the logarithm of how often its words occur."""
     counts = (
         lines.select(F.explode(_words(F.col("_text"))).alias("w"))
         .groupBy(_bucket(F.xxhash64("w")).alias("bucket"))
@@ -69,10 +71,10 @@ def _rarity(lines: DataFrame) -> Column:
         .join(counts, "bucket", "left")
         .groupBy(F.shiftright("bucket", 10).alias("run"))
         .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(rank, F.lit(0)).alias("rank")))).alias("of"))
-        .select("run", F.array_join(F.transform("of", lambda x: x["rank"].cast("string")), ",").alias("ranks"))
+        .select("run", F.array_join(F.transform("of", lambda x: F.char(x["rank"] + RANK_0)), "").alias("ranks"))
         .collect()
     )
-    return _literal(",".join(r["ranks"] for r in sorted(runs)), "tinyint")
+    return F.lit("".join(r["ranks"] for r in sorted(runs)).encode())
 
 
 def _literal(values: str, kind: str) -> Column:
@@ -84,12 +86,12 @@ def _by_rarity(words: Column, ranks: Column) -> Column:
     """Distinct words as sorted numbers: rank in the high bits, hash in the low ones."""
     keep = 63 - RANK_BITS
 
-    def number(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        rank = F.get(ranks, _bucket(hashed)).cast("long")
+    def number(hashed: Column) -> Column:
+        rank = (F.ascii(F.substring(ranks, _bucket(hashed) + 1, F.lit(1)).cast("string")) - RANK_0).cast("long")
         return F.shiftleft(rank, keep).bitwiseOR(F.shiftrightunsigned(hashed, 64 - keep))
 
-    return F.sort_array(F.array_distinct(F.transform(words, number)))
+    hashes = F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    return F.sort_array(F.array_distinct(F.transform(hashes, number)))
 
 
 def _needed(size: Column) -> Column:
@@ -100,8 +102,8 @@ def _needed(size: Column) -> Column:
 def classes(lines: DataFrame) -> DataFrame:
     """One row for each word set: its number, first line, size and rarest words."""
     sets = (
-        lines.withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(lines)))
-        .filter(F.size("_sorted") > 0)
+        lines.filter(_not_blank(F.col("_text")))
+        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(lines)))
         .withColumn("_size", F.size("_sorted"))
     )
     return written(
@@ -120,33 +122,37 @@ def classes(lines: DataFrame) -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Pairs of classes that pass the prefix, length and positional filters."""
+    """Pairs of classes that pass the prefix, length and positional filters.
+
+    All filters are part of the join: each prefix word brings the prefix words behind
+    it, as 16 bits each, of which the other line must have ``SHARED - 1`` behind the same
+    word. At the first word they share, two lines that match pass: no shared word stands
+    before it. Where two words of a line fall on the same 16 bits its words are not compared.
+    """
     # Sets of fewer than PART words match equal sets alone.
-    prefixes = found.filter(F.col("size") >= PART).select(
-        "number", "size", F.posexplode("rarest").alias("place", "word")
-    )
+    short = F.transform("rarest", lambda w: (w.bitwiseAND(0xFFFF) - 0x8000).cast("smallint"))
+    wide = found.filter(F.col("size") >= PART).withColumn("short", short)
+    apart = F.size(F.array_distinct("short")) == F.size("short")
+    exploded = wide.select(
+        "number", "size", F.when(apart, F.col("short")).alias("short"), F.size("rarest").alias("many"),
+        F.posexplode(F.slice("rarest", F.lit(1), F.size("rarest") - (SHARED - 1))).alias("place", "word"),
+    )
+    prefixes = exploded.select(
+        "number", "size", (F.col("size") - F.col("place")).alias("rest"), "word",
+        F.slice("short", F.col("place") + 2, F.col("many")).alias("behind"),
+    )
     a = prefixes.select(*[F.col(c).alias(f"{c}_a") for c in prefixes.columns])
     b = prefixes.select(*[F.col(c).alias(f"{c}_b") for c in prefixes.columns])
     together = F.col("size_a") + F.col("size_b")
-    # Words behind a shared one, and those shared with and before it at most.
-    behind = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) - 1
-    before = F.least("place_a", "place_b") + 1
-    return (
-        a.join(
-            b,
-            (F.col("word_a") == F.col("word_b"))
-            & (F.col("number_a") < F.col("number_b"))
-            & (F.least("size_a", "size_b") * WHOLE >= F.greatest("size_a", "size_b") * PART)
-            & ((before + behind) * (PART + WHOLE) >= together * PART),
-        )
-        .groupBy("number_a", "number_b")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(behind).alias("behind"), F.first(together).alias("together"))
-        .filter(
-            (F.col("n") >= SHARED)
-            & ((F.col("n") + F.col("behind")) * (PART + WHOLE) >= F.col("together") * PART)
-        )
-        .select("number_a", "number_b")
-    )
+    shared = F.size(F.array_intersect("behind_a", "behind_b"))
+    return a.join(
+        b,
+        (F.col("word_a") == F.col("word_b"))
+        & (F.col("number_a") < F.col("number_b"))
+        & (F.least("size_a", "size_b") * WHOLE >= F.greatest("size_a", "size_b") * PART)
+        & (F.least("rest_a", "rest_b") * (PART + WHOLE) >= together * PART)
+        & (F.col("behind_a").isNull() | F.col("behind_b").isNull() | (shared >= SHARED - 1)),
+    ).select("number_a", "number_b").distinct()
 
 
 def _asked_for(places: DataFrame) -> Column:
@@ -199,14 +205,16 @@ def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
 def kept_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """(_id, _mark, _kept): places of the non-blank lines that stay, per document with any."""
     lines = _placed(docs, text)
-    found = classes(lines)
-    late = written(late_classes(lines, found), "late-lines")
-    return (
-        found.join(late, "number", "left_anti")
-        .select("first.*")
-        .groupBy("_id", "_mark")
-        .agg(F.collect_list("_line").alias("_kept"))
-    )
+    with scratch(docs.sparkSession):
+        found = classes(lines)
+        late = written(late_classes(lines, found), "late-lines")
+        kept = (
+            found.join(late, "number", "left_anti")
+            .select("first.*")
+            .groupBy("_id", "_mark")
+            .agg(F.collect_list("_line").alias("_kept"))
+        )
+        return written(kept, "kept-lines", keep=True)
 
 
 def line_counts(docs: DataFrame, text: str = "text") -> DataFrame:
