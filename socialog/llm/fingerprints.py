@@ -37,6 +37,7 @@ from socialog.llm.base import tidy
 ROWS = 3  # cells that a digest goes to
 CELLS = 8  # cells of each row in the stored fingerprint
 GROW = 8
+ENOUGH = 64  # cells for each digest of which one at least surely peels
 EVERY = 16  # words between cuts, on average
 CHECK_SEED, ROW_SEED = 7, 11
 CHECKED = np.uint64(0xFFFFFFFF)
@@ -162,13 +163,19 @@ class Version:
 
 
 def differing(a: Version, b: Version) -> tuple[list[int], list[int]]:
-    """Digests of only ``a`` and of only ``b``, from sketches as large as it takes."""
+    """Digests of only ``a`` and of only ``b``, from sketches as large as it takes.
+
+    Equal digests of different parts never peel. Should there be some, sketches end at
+    ``ENOUGH`` times the digests and the lists are subtracted.
+    """
     cells = CELLS
-    while True:
+    while cells <= ENOUGH * (len(a.keys) + len(b.keys) + 1):
         found = a.sketch(cells).minus(b.sketch(cells))
         if found is not None:
             return found
         cells *= GROW
+    here, there = Counter(a.keys.tolist()), Counter(b.keys.tolist())
+    return list((here - there).elements()), list((there - here).elements())
 
 
 def likeness(a: Version, b: Version, differ: int) -> float:
@@ -226,7 +233,7 @@ def fingerprints(docs: DataFrame, runs: int | None = None) -> DataFrame:
     shares = [i / runs for i in range(1, runs)]
     edges = rows.agg(F.percentile_approx("doc_id", shares, 100 * runs)).first()[0] or []
     edges = sorted(set(edges))
-    # A row's run: the number of edges below its id (runs cuts, found by halving).
+    # A row's run: the number of edges up to its id.
     placed = rows.withColumn("_run", _run_of(F.col("doc_id"), edges)).withColumn(
         "_order", F.xxhash64("text")
     )
