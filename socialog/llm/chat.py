@@ -13,10 +13,12 @@ turn's text (say, if it drops an earlier answer's reasoning). Such a turn is mar
 longer hold and must not be trained on. Output after the last text that gives way (a
 prompt for the next answer) is no history.
 
-Prefixes longer than ``2 * reach`` turns are rendered from their first turn and the
-last ``reach`` ones, so that work and memory of a conversation of any length stay
-bounded by its longest stretch of that many turns; a template must not look farther
-back. The standing template looks back at nothing.
+Prefixes are rendered whole, so a template may look back at any turn; work on a
+conversation then grows with the square of its turns. A template that looks back only
+so far may say so in an attribute ``reach``: prefixes longer than ``2 * reach`` turns
+are rendered from their first turn and the last ``reach`` ones, and work and memory of a
+conversation of any length stay bounded by its longest stretch of that many turns. The
+standing template looks back at nothing and has one.
 
 Conversations are dealt by id and sorted; a task streams them turn by turn and holds
 one window at a time, however long the conversation. That one is rendered by one task
@@ -49,7 +51,7 @@ ESCAPED = re.compile(r"<\\(\\*)\|")
 ROLE = str.maketrans({"\\": "\\\\", "\n": "\\n", "|": "\\p"})
 ROLE_BACK = {"\\\\": "\\", "\\n": "\n", "\\p": "|"}
 TURN = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*?){re.escape(END)}\n", re.DOTALL)
-REACH = 32  # turns that a template may look back
+REACH = 32  # last turns that the standing template is rendered with; it needs none
 TURNS = (
     "conv_id long, turn long, role string, piece string, start long, "
     "text_start long, text_end long, loss boolean, rewrites boolean"
@@ -74,6 +76,9 @@ def marked(turns: list[tuple[str, str]]) -> str:
     return "".join(f"{START}{role.translate(ROLE)}\n{escaped(text)}{END}\n" for role, text in turns)
 
 
+marked.reach = REACH
+
+
 def unmarked(output: str) -> list[tuple[str, str]]:
     """The turns of an output of ``marked``, or of a part between turns."""
     found = []
@@ -106,8 +111,9 @@ def agreed(a: str, b: str) -> int:
 class Conversation:
     """Renders the growing prefixes of one conversation."""
 
-    def __init__(self, template: Template, reach: int = REACH):
-        self.template, self.reach = template, reach
+    def __init__(self, template: Template, reach: int | None = None):
+        self.template = template
+        self.reach = getattr(template, "reach", None) if reach is None else reach
         self.turns: list[tuple[str, str]] = []
         self.out = ""
         self.before = 0  # characters of the whole output that self.out doesn't hold
@@ -115,7 +121,7 @@ class Conversation:
 
     def add(self, role: str, text: str) -> tuple[str, int, int | None, int | None, bool]:
         """Piece, its start, start and end of the text, whether earlier texts changed."""
-        if len(self.turns) >= 2 * self.reach:
+        if self.reach and len(self.turns) >= 2 * self.reach:
             self.turns = self.turns[:1] + self.turns[-self.reach :]
             whole = self.before + len(self.out)
             self.out = self.template(self.turns)
@@ -159,13 +165,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def rendered(turns: DataFrame, template: Template = marked, learned: str = "assistant", reach: int = REACH) -> DataFrame:
+def rendered(
+    turns: DataFrame, template: Template = marked, learned: str = "assistant", reach: int | None = None
+) -> DataFrame:
     """One row a turn, those of a conversation in order and in one task.
 
     The output of a conversation is made of the pieces: each replaces what stands from
     its ``start`` (code points) on. ``text_start`` and ``text_end`` bound the turn's text in
     the output; ``loss`` says whether that span is under the loss mask, which are the
-    texts of role ``learned``.
+    texts of role ``learned``. ``reach`` says how many turns the template looks back at
+    most, in place of its own attribute; without either, prefixes are rendered whole.
     """
     schema = _schema(TURNS)
 

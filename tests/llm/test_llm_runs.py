@@ -187,6 +187,19 @@ def test_pieces_make_the_whole_output(spark, template):
             assert r["loss"] == (role == "assistant")
 
 
+def test_a_template_may_look_back_at_any_turn(spark):
+    def numbered(turns):
+        return "".join(f"<{i}/{sum(len(t) for _, t in turns[:i])} {r}>{t}\n" for i, (r, t) in enumerate(turns))
+
+    random.seed(6)
+    some = [(random.choice(["user", "assistant"]), random.choice(["", "a", "bc"])) for _ in range(150)]
+    found = by_conversation(chat.rendered(frame(spark, [(1, k, r, t) for k, (r, t) in enumerate(some)]), numbered))[1]
+    whole = numbered(some)
+    assert joined(found) == whole
+    assert [whole[r["text_start"] : r["text_end"]] for r in found] == [t for _, t in some]
+    assert not any(r["rewrites"] for r in found)
+
+
 def test_rewritten_history_is_found(spark):
     some = [("user", "q"), ("assistant", "<think>x</think>y"), ("user", "r"), ("assistant", "z")]
     found = by_conversation(chat.rendered(frame(spark, [(1, k, r, t) for k, (r, t) in enumerate(some)]), forgetful()))[1]
