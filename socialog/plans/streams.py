@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from socialog.plans import fixtures as fx
@@ -12,6 +13,14 @@ from socialog.sources import schemas
 from socialog.streaming import delivery, rolled
 
 
+FILE_ROWS = 500_000  # of a file that is written for a stream, about
+
+
+def file_count(rows: DataFrame, least: int) -> int:
+    """Files of bounded size that ``rows`` fill: a multiple of ``least``."""
+    return least * max(1, -(-rows.count() // (FILE_ROWS * least)))
+
+
 def event_files(spark, sf, files: int = 10) -> str:
     """The events as ``files`` Parquet files in id order."""
     folder = new_path(spark, "events")
@@ -20,14 +29,20 @@ def event_files(spark, sf, files: int = 10) -> str:
 
 
 def shuffled_files(spark, sf, files: int = 4, times: int = 1) -> str:
-    """The events as Parquet files that each hold events of all times."""
+    """The events as Parquet files that each hold events of all times; ``files`` of them or, of many events, a multiple."""
     folder = new_path(spark, "events")
+    events = fx.events(spark, sf)
+    many = file_count(events, files)
     for _ in range(times):
-        rows = fx.events(spark, sf).repartition(files, F.xxhash64("id"))
-        rows.write.mode("append").parquet(folder)
+        events.repartition(many, F.xxhash64("id")).write.mode("append").parquet(folder)
     return folder
 
 
+def quarter(spark, sf) -> int:
+    """How many of the files that ``shuffled_files`` writes at a time make a quarter of them."""
+    return file_count(fx.events(spark, sf), 4) // 4
+
+
 def _run(rows, spark, sink: str) -> None:
     """Stream ``rows`` over all files there are into ``sink``."""
     (
@@ -169,7 +184,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The same counts from batches of shuffled files, in which most events are late."""
     source, sink = shuffled_files(spark, sf), new_path(spark, "seconds")
-    events = delivery.file_events(spark, source, max_files=1)
+    events = delivery.file_events(spark, source, max_files=quarter(spark, sf))
     delivery.deliver_counts(events, sink, new_path(spark, "position")).awaitTermination()
     return delivery.read_counts(spark, sink).withColumn("second", F.unix_seconds("second"))
 
@@ -180,9 +195,9 @@ def _(spark, sf):
     ("stream_events",),
 )
 def _(spark, sf):
-    """Shuffled files, one a batch, each delivered twice; each event passes once."""
+    """Shuffled files, a quarter a batch, each delivered twice; each event passes once."""
     source, sink = shuffled_files(spark, sf, times=2), new_path(spark, "once")
-    events = delivery.once_each(delivery.file_events(spark, source, max_files=1))
+    events = delivery.once_each(delivery.file_events(spark, source, max_files=quarter(spark, sf)))
     _run(events.select("id", "type", "timestamp"), spark, sink)
     return spark.read.schema("id bigint, type string, timestamp bigint").parquet(sink)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from socialog.plans import fixtures as fx
 from socialog.plans.catalog import query
 from socialog.plans.state import LIVE_SQL
-from socialog.plans.streams import shuffled_files
+from socialog.plans.streams import file_count, quarter, shuffled_files
 from socialog.session import new_path
 from socialog.sources import pages, schemas
 from socialog.streaming import delivery, guard, upkeep
@@ -76,10 +76,10 @@ def _(spark, sf):
 
 @query("stream_once_ever", "SELECT id, type, timestamp FROM stream_events", ("stream_events",))
 def _(spark, sf):
-    """Shuffled files, one a batch, all delivered again in a later run; each event passes once."""
+    """Shuffled files, a quarter a batch, all delivered again in a later run, dealt anew; each event passes once."""
     source, sink, position = shuffled_files(spark, sf), new_path(spark, "once"), new_path(spark, "position")
     for _ in range(2):
-        events = delivery.file_events(spark, source, max_files=1).select("id", "type", "timestamp")
+        events = delivery.file_events(spark, source, max_files=quarter(spark, sf)).select("id", "type", "timestamp")
         with guard.state_store(spark):
             run = (
                 guard.once_ever(events)
@@ -90,7 +90,8 @@ def _(spark, sf):
                 .start()
             )
         run.awaitTermination()
-        fx.events(spark, sf).repartition(3, "shard_index").write.mode("append").parquet(source)
+        again = fx.events(spark, sf)
+        again.repartition(file_count(again, 3), "shard_index", "id").write.mode("append").parquet(source)
     return spark.read.schema(events.schema).parquet(sink)
 
 
@@ -98,10 +99,11 @@ def _kept_up(spark, sf, kind, kept):
     """The log of a kind in shuffled files, a few a batch, each file there twice."""
     source = new_path(spark, f"{kind}-log")
     for _ in range(2):
-        rows = fx.FLAT[kind](spark, sf).repartition(3, F.xxhash64("Hash"))
-        rows.write.mode("append").parquet(source)
+        rows = fx.FLAT[kind](spark, sf)
+        files = file_count(rows, 3)
+        rows.repartition(files, F.xxhash64("Hash")).write.mode("append").parquet(source)
     schema = schemas.FLAT[kind]
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files // 3 * 2).parquet(source)
     upkeep.keep_up(stream, kept, new_path(spark, "position")).awaitTermination()
     return upkeep.live(spark, kept, schema)
 

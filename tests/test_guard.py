@@ -4,8 +4,11 @@ import numpy as np
 from conftest import DATA
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from socialog.plans import fixtures as fx
+from socialog.plans import streams
+from socialog.plans.catalog import catalog
 from socialog.plans.streams import shuffled_files
 from socialog.streaming import delivery, guard
 
@@ -67,3 +70,13 @@ def test_ids_counted_by_shard(spark, tmp_path):
     assert [tuple(r) for r in guard.state_rows(spark, position).orderBy("_shard_index").collect()] == [
         (s, 0, [0], [39]) for s in range(3)
     ]
+
+
+def test_files_of_a_stream_grow_in_number_not_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    stored = spark.read.parquet(shuffled_files(spark, DATA))
+    by_file = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert sum(by_file) == 1000 and len(by_file) == 12 and max(by_file) < 130
+    found = catalog()["stream_once_ever"].build(spark, DATA)
+    wanted = fx.events(spark, DATA).select("id", "type", "timestamp")
+    assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
