@@ -6,12 +6,19 @@ or more. A line is removed if an earlier line (by id, then place) matches it.
 Lines with equal sets are one class, so copies cost one row; equal sets are told by two
 64-bit hashes of the sorted hashes of their words. The words of a class
 are ordered by rarity (exact counts over all lines in ``BUCKETS`` hash buckets, in
-logarithmic steps, ties by hash). Two classes that match share ``SHARED`` words among
-the first ``n - ceil(4n/5) + SHARED`` of each (prefix filter); with sizes within 4/5 of
-each other (length filter) and enough words from the first shared one on (positional
-filter) they are candidates, whose word sets are then compared, word by word. The join by
-shared word applies all three, so only candidates are shuffled. For the comparison, lines are fetched by
-place; a bit set of fixed size keeps most lines that nobody asked for from moving.
+logarithmic steps, ties by hash). Two classes that match share one of the first
+``n - ceil(4n/5) + 1`` words of each (prefix filter); with sizes within 4/5 of each other
+(length filter), enough words from the first shared one on (positional filter) and
+parities of their words over 128 bits that differ in no more bits than the sets may in
+words, they are candidates, whose word sets are then compared, word by word. The join by
+shared word applies all of these, so only candidates are shuffled. For the comparison, lines are
+fetched by place; a bit set of fixed size keeps most lines that nobody asked for from moving.
+
+A class needs one earlier match. Each is first held against the earliest class of each of
+``SHARES`` parts of those with each prefix word, and only classes that this leaves without
+a match against all earlier ones: a group of near copies costs few comparisons a line, not
+all its pairs. Where very many lines share rare words and parities and yet don't match,
+all their pairs are compared.
 
 All lines of a class whose first line comes after the first line of a matching
 class are removed, and of any other class all but the first line.
@@ -35,7 +42,7 @@ RANK_BITS = 6
 RANK_0 = 48  # the byte of rank 0; the last is still ASCII
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
-SHARED = 3  # words that the prefixes of a match have in common; sets of PART words allow it
+SHARES = 8  # parts of the classes with a prefix word; each is first held against the earliest of each part
 BITS = 1 << 21
 
 
@@ -90,7 +97,7 @@ def _by_rarity(words: Column, ranks: Column) -> Column:
         rank = (F.ascii(F.substring(ranks, _bucket(hashed) + 1, F.lit(1)).cast("string")) - RANK_0).cast("long")
         return F.shiftleft(rank, keep).bitwiseOR(F.shiftrightunsigned(hashed, 64 - keep))
 
-    hashes = F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    hashes = F.transform(words, lambda word: F.xxhash64(word))
     return F.sort_array(F.array_distinct(F.transform(hashes, number)))
 
 
@@ -99,8 +106,19 @@ def _needed(size: Column) -> Column:
     return F.floor((size * PART + WHOLE - 1) / WHOLE).cast("int")
 
 
+def _odd(numbers: Column, half: int) -> Column:
+    """Whether an odd number of words falls on each of 64 bits; words fall on either half of 128."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def bit(word: Column) -> Column:
+        at = F.call_function("shiftleft", one, word.bitwiseAND(63).cast("int"))
+        return F.when(word.bitwiseAND(64) == 64 * half, at).otherwise(none)
+
+    return F.aggregate(numbers, none, lambda bits, word: bits.bitwiseXOR(bit(word)))
+
+
 def classes(lines: DataFrame) -> DataFrame:
-    """One row for each word set: its number, first line, size and rarest words."""
+    """One row for each word set: its number, first line, size, rarest words and parities."""
     sets = (
         lines.filter(_not_blank(F.col("_text")))
         .withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(lines)))
@@ -111,48 +129,82 @@ def classes(lines: DataFrame) -> DataFrame:
             F.xxhash64("_sorted").alias("_a"),
             F.xxhash64(F.lit(1), "_sorted").alias("_b"),
             "_size",
-            F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + SHARED).alias("_rarest"),
+            F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + 1).alias("_rarest"),
+            _odd(F.col("_sorted"), 0).alias("_odd"),
+            _odd(F.col("_sorted"), 1).alias("_odd2"),
             F.struct("_id", "_mark", "_line").alias("_first"),
         )
         .groupBy("_a", "_b")
-        .agg(F.min("_first").alias("first"), F.first("_size").alias("size"), F.first("_rarest").alias("rarest"))
-        .select(F.monotonically_increasing_id().alias("number"), "first", "size", "rarest"),
+        .agg(
+            F.min("_first").alias("first"),
+            F.first("_size").alias("size"),
+            F.first("_rarest").alias("rarest"),
+            F.first("_odd").alias("odd"),
+            F.first("_odd2").alias("odd2"),
+        )
+        .select(F.monotonically_increasing_id().alias("number"), "first", "size", "rarest", "odd", "odd2"),
         "line-classes",
     )
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Pairs of classes that pass the prefix, length and positional filters.
+def _prefixes(found: DataFrame) -> DataFrame:
+    """The prefix words of each class; ``rest`` is how many of its words stand from there on."""
+    # Sets of fewer than PART words match equal sets alone.
+    return (
+        found.filter(F.col("size") >= PART)
+        .select("number", F.col("first._id").alias("id"), "size", "odd", "odd2", F.posexplode("rarest").alias("rest", "word"))
+        .withColumn("rest", F.col("size") - F.col("rest"))
+    )
+
+
+def _may_match(a: str, b: str) -> Column:
+    """Length and positional filter, and parities: a word of only one set changes one bit."""
+    size_a, size_b, rest_a, rest_b, odd_a, odd_b, odd2_a, odd2_b = (
+        F.col(side.format(name)) for name in ("size", "rest", "odd", "odd2") for side in (a, b)
+    )
+    together = size_a + size_b
+    differ = F.bit_count(odd_a.bitwiseXOR(odd_b)) + F.bit_count(odd2_a.bitwiseXOR(odd2_b))
+    return (
+        (F.least(size_a, size_b) * WHOLE >= F.greatest(size_a, size_b) * PART)
+        & (F.least(rest_a, rest_b) * (PART + WHOLE) >= together * PART)
+        & (differ * (PART + WHOLE) <= together * (WHOLE - PART))
+    )
 
-    All filters are part of the join: each prefix word brings the prefix words behind
-    it, as 16 bits each, of which the other line must have ``SHARED - 1`` behind the same
-    word. At the first word they share, two lines that match pass: no shared word stands
-    before it. Where two words of a line fall on the same 16 bits its words are not compared.
+
+def pivots(found: DataFrame) -> DataFrame:
+    """Candidates of which one is the earliest class, by id, of a part of those with a prefix word."""
+    prefixes = _prefixes(found)
+    names = ("number", "size", "rest", "odd", "odd2")
+    earliest = prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share")).agg(
+        *[F.min_by(c, "id").alias(f"_{c}") for c in names], F.min("id").alias("_id")
+    )
+    met = prefixes.join(earliest, "word").filter(
+        (F.col("_id") <= F.col("id")) & (F.col("number") != F.col("_number")) & _may_match("{}", "_{}")
+    )
+    return _pairs(met, "number", "_number")
+
+
+def candidates(found: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """Pairs of a class of ``unmatched`` and one of no larger id that pass all filters.
+
+    The filters are part of the join. At the first word they share, two lines that match
+    pass the positional one: no shared word stands before it.
     """
-    # Sets of fewer than PART words match equal sets alone.
-    short = F.transform("rarest", lambda w: (w.bitwiseAND(0xFFFF) - 0x8000).cast("smallint"))
-    wide = found.filter(F.col("size") >= PART).withColumn("short", short)
-    apart = F.size(F.array_distinct("short")) == F.size("short")
-    exploded = wide.select(
-        "number", "size", F.when(apart, F.col("short")).alias("short"), F.size("rarest").alias("many"),
-        F.posexplode(F.slice("rarest", F.lit(1), F.size("rarest") - (SHARED - 1))).alias("place", "word"),
-    )
-    prefixes = exploded.select(
-        "number", "size", (F.col("size") - F.col("place")).alias("rest"), "word",
-        F.slice("short", F.col("place") + 2, F.col("many")).alias("behind"),
-    )
-    a = prefixes.select(*[F.col(c).alias(f"{c}_a") for c in prefixes.columns])
-    b = prefixes.select(*[F.col(c).alias(f"{c}_b") for c in prefixes.columns])
-    together = F.col("size_a") + F.col("size_b")
-    shared = F.size(F.array_intersect("behind_a", "behind_b"))
-    return a.join(
+    a, b = _prefixes(found), _prefixes(unmatched)
+    a = a.select(*[F.col(c).alias(f"{c}_a") for c in a.columns])
+    b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
+    met = a.join(
         b,
         (F.col("word_a") == F.col("word_b"))
-        & (F.col("number_a") < F.col("number_b"))
-        & (F.least("size_a", "size_b") * WHOLE >= F.greatest("size_a", "size_b") * PART)
-        & (F.least("rest_a", "rest_b") * (PART + WHOLE) >= together * PART)
-        & (F.col("behind_a").isNull() | F.col("behind_b").isNull() | (shared >= SHARED - 1)),
-    ).select("number_a", "number_b").distinct()
+        & (F.col("id_a") <= F.col("id_b"))
+        & (F.col("number_a") != F.col("number_b"))
+        & _may_match("{}_a", "{}_b"),
+    )
+    return _pairs(met, "number_a", "number_b")
+
+
+def _pairs(met: DataFrame, a: str, b: str) -> DataFrame:
+    return met.select(F.least(a, b).alias("number_a"), F.greatest(a, b).alias("number_b")).distinct()
 
 
 def _asked_for(places: DataFrame) -> Column:
@@ -172,9 +224,8 @@ def _asked_for(places: DataFrame) -> Column:
     return F.getbit(found, F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 
-def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
-    """Numbers of the classes that match one whose first line is earlier."""
-    pairs = written(candidates(found), "line-pairs")
+def _late(lines: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Numbers of the later class of each of ``pairs`` that match, by their whole word sets."""
     wanted = written(
         pairs.select(F.explode(F.array("number_a", "number_b")).alias("number"))
         .distinct()
@@ -199,7 +250,21 @@ def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
         .filter(shared * (PART + WHOLE) >= (F.size("words_a") + F.size("words_b")) * PART)
     )
     later = F.when(F.col("first_a") < F.col("first_b"), F.col("number_b")).otherwise(F.col("number_a"))
-    return matches.select(later.alias("number")).distinct()
+    return written(matches.select(later.alias("number")).distinct(), "late-lines")
+
+
+def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """Numbers of the classes that match one whose first line is earlier.
+
+    One earlier match is enough. Each class is first held against the earliest classes with
+    each of its prefix words, which settles large groups of near copies in few
+    comparisons, and only classes without a match there against all others.
+    """
+    first = written(pivots(found), "line-pairs")
+    late = _late(lines, found, first)
+    unmatched = found.join(late, "number", "left_anti")
+    rest = candidates(found, unmatched).join(first, ["number_a", "number_b"], "left_anti")
+    return late.union(_late(lines, found, written(rest, "line-pairs"))).distinct()
 
 
 def kept_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -207,7 +272,7 @@ def kept_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = _placed(docs, text)
     with scratch(docs.sparkSession):
         found = classes(lines)
-        late = written(late_classes(lines, found), "late-lines")
+        late = late_classes(lines, found)
         kept = (
             found.join(late, "number", "left_anti")
             .select("first.*")

@@ -171,6 +171,29 @@ def test_lines_match_brute_force(spark):
         assert found[i]["n_removed"] == len(all_lines) - len(left)
 
 
+def test_near_copies_of_a_line_are_not_all_paired(spark, monkeypatch):
+    """Copies of one line with up to two words replaced: few candidates a line, same result."""
+    random.seed(37)
+    template, texts = [f"t{i}" for i in range(30)], []
+    for _ in range(400):
+        words = template.copy()
+        for at in random.sample(range(30), random.randint(0, 2)):
+            words[at] = f"x{random.randrange(3000)}"
+        texts.append(" ".join(words))
+    pairs, whole = [], lines.written
+
+    def written(df, label, keep=False):
+        made = whole(df, label, keep)
+        if label == "line-pairs":
+            pairs.append(made.count())
+        return made
+
+    monkeypatch.setattr(lines, "written", written)
+    found = by_id(lines.line_counts(docs(spark, texts)))
+    assert {i: list(r["kept_lines"]) for i, r in found.items()} == slow_lines(list(enumerate(texts)))
+    assert sum(pairs) < 40 * len(texts)
+
+
 def test_lines_of_documents(spark):
     given = table(spark, DATA, "documents").orderBy("doc_id").collect()
     found = by_id(QUERIES["op7_lines"](spark, DATA))
