@@ -59,9 +59,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         some = words[start : min(start + BLOCK, n) + shingle - 1]
         count = max(len(some) - shingle + 1, 1)
         grams = zip(*(some[i:] for i in range(shingle)), strict=False) if len(some) >= shingle else [some]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(g), SEED) for g in grams), "<u8", count)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        ones += set_bits(np.fromiter((xxhash.xxh64_intdigest(b" ".join(g), SEED) for g in grams), "<u8", count))
+    return majority(ones, n)
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """In how many of ``hashes`` each of the 64 bits is set."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """The fingerprint of ``n`` hashes by how often each bit is set."""
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 

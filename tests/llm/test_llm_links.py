@@ -358,6 +358,28 @@ def test_stage_keeps_one_of_each_near_copy(spark):
     assert sum((prints[a] ^ prints[b]).bit_count() <= simhash.MOST for a, b in linked) < 0.6 * len(linked)
 
 
+def test_stage_links_what_simhash_links(spark, monkeypatch):
+    """Fingerprints of five-word shingles within three bits are compared by their keys, once each."""
+    texts = near_copies(300, 30, (0, 1, 1, 2), 41)
+    sets = [similar.shingles(t) for t in texts]
+    prints = {similar._set_of(s): similar._fingerprint(s) for s in sets}
+    assert prints[similar._set_of(sets[0])] % 2**64 == simhash.fingerprint(texts[0], similar.WORDS)
+    pairs, whole = [], similar.by_fingerprint
+
+    def by_fingerprint(one):
+        found = whole(one)
+        pairs.extend((r["a"], r["b"]) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(similar, "by_fingerprint", by_fingerprint)
+    import corpus_pipeline
+
+    wanted, _ = slow_similar(texts)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs(spark, texts), "").collect()} == set(wanted)
+    near = [(a, b) for a in prints for b in prints if a < b and ((prints[a] ^ prints[b]) % 2**64).bit_count() <= 3]
+    assert len(near) >= 10 and {tuple(sorted(p)) for p in pairs} == set(near)
+
+
 def test_similar_groups_match_brute_force(spark, monkeypatch):
     """Chains of copies, a template in a third of all texts, short, equal and blank texts."""
     monkeypatch.setattr(similar, "SAMPLE", 40)
