@@ -15,7 +15,7 @@ shared word applies all of these, so only candidates are shuffled. For the compa
 fetched by place; a bit set of fixed size keeps most lines that nobody asked for from moving.
 
 A class needs one earlier match. Each is first held against the earliest class of each of
-``SHARES`` parts of those with each prefix word, and only classes that this leaves without
+``SHARES`` parts of those with one in ``SOME`` of its prefix words, and only classes that this leaves without
 a match against all earlier ones: a group of near copies costs few comparisons a line, not
 all its pairs. Where very many lines share rare words and parities and yet don't match,
 all their pairs are compared.
@@ -43,6 +43,7 @@ RANK_0 = 48  # the byte of rank 0; the last is still ASCII
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
 SHARES = 8  # parts of the classes with a prefix word; each is first held against the earliest of each part
+SOME = 2  # one prefix word in so many, told by its hash, is used for that
 BITS = 1 << 21
 
 
@@ -172,8 +173,11 @@ def _may_match(a: str, b: str) -> Column:
 
 
 def pivots(found: DataFrame) -> DataFrame:
-    """Candidates of which one is the earliest class, by id, of a part of those with a prefix word."""
-    prefixes = _prefixes(found)
+    """Candidates of which one is the earliest class, by id, of a part of those with one of some prefix words.
+
+    Which words are used steers work only; near copies share most of theirs.
+    """
+    prefixes = _prefixes(found).filter(F.pmod("word", F.lit(SOME)) == 0)
     names = ("number", "size", "rest", "odd", "odd2")
     earliest = prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share")).agg(
         *[F.min_by(c, "id").alias(f"_{c}") for c in names], F.min("id").alias("_id")
