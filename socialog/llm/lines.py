@@ -153,7 +153,7 @@ def _prefixes(found: DataFrame) -> DataFrame:
     # Sets of fewer than PART words match equal sets alone.
     return (
         found.filter(F.col("size") >= PART)
-        .select("number", F.col("first._id").alias("id"), "size", "odd", "odd2", F.posexplode("rarest").alias("rest", "word"))
+        .select("number", "open", F.col("first._id").alias("id"), "size", "odd", "odd2", F.posexplode("rarest").alias("rest", "word"))
         .withColumn("rest", F.col("size") - F.col("rest"))
     )
 
@@ -177,7 +177,7 @@ def pivots(found: DataFrame) -> DataFrame:
 
     Which words are used steers work only; near copies share most of theirs.
     """
-    prefixes = _prefixes(found).filter(F.pmod("word", F.lit(SOME)) == 0)
+    prefixes = _prefixes(found.withColumn("open", F.lit(True))).filter(F.pmod("word", F.lit(SOME)) == 0)
     names = ("number", "size", "rest", "odd", "odd2")
     earliest = prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share")).agg(
         *[F.min_by(c, "id").alias(f"_{c}") for c in names], F.min("id").alias("_id")
@@ -188,13 +188,13 @@ def pivots(found: DataFrame) -> DataFrame:
     return _pairs(met, "number", "_number")
 
 
-def candidates(found: DataFrame, unmatched: DataFrame) -> DataFrame:
-    """Pairs of a class of ``unmatched`` and one of no larger id that pass all filters.
+def candidates(found: DataFrame) -> DataFrame:
+    """Pairs of a class that is ``open`` and one of no larger id that pass all filters.
 
     The filters are part of the join. At the first word they share, two lines that match
     pass the positional one: no shared word stands before it.
     """
-    a, b = _prefixes(found), _prefixes(unmatched)
+    a = b = _prefixes(found)
     a = a.select(*[F.col(c).alias(f"{c}_a") for c in a.columns])
     b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
     met = a.join(
@@ -202,6 +202,8 @@ def candidates(found: DataFrame, unmatched: DataFrame) -> DataFrame:
         (F.col("word_a") == F.col("word_b"))
         & (F.col("id_a") <= F.col("id_b"))
         & (F.col("number_a") != F.col("number_b"))
+        # Both sides are asked, so that they stay the same and are shuffled once.
+        & (F.col("open_b") | (F.col("open_a") & (F.col("id_a") == F.col("id_b"))))
         & _may_match("{}_a", "{}_b"),
     )
     return _pairs(met, "number_a", "number_b")
@@ -266,8 +268,9 @@ def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
     """
     first = written(pivots(found), "line-pairs")
     late = _late(lines, found, first)
-    unmatched = found.join(late, "number", "left_anti")
-    rest = candidates(found, unmatched).join(first, ["number_a", "number_b"], "left_anti")
+    matched = late.withColumn("open", F.lit(False))
+    marked = found.join(matched, "number", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    rest = candidates(written(marked, "line-classes")).join(first, ["number_a", "number_b"], "left_anti")
     return late.union(_late(lines, found, written(rest, "line-pairs"))).distinct()
 
 
