@@ -14,9 +14,10 @@ words, they are candidates, whose word sets are then compared, word by word. The
 shared word applies all of these, so only candidates are shuffled. For the comparison, lines are
 fetched by place; a bit set of fixed size keeps most lines that nobody asked for from moving.
 
-A class needs one earlier match. Each is first held against the earliest class of each of
-``SHARES`` parts of those with one in ``SOME`` of its prefix words, and only classes that this leaves without
-a match against all earlier ones: a group of near copies costs few comparisons a line, not
+A class needs one earlier match. Where a prefix word is in ``HOT`` classes or more, these are first
+held against a few of them, in each of ``SHARES`` parts the earliest and the one with most lines (copies that nobody
+edited are near all others), by their ``PROBES`` commonest prefix words. Only classes that this leaves without
+a match are held against all earlier ones: a group of near copies costs few comparisons a line, not
 all its pairs. Where very many lines share rare words and parities and yet don't match,
 all their pairs are compared.
 
@@ -39,11 +40,11 @@ from socialog.session import scratch, written
 
 BUCKETS = 1 << 19
 RANK_BITS = 6
-RANK_0 = 48  # the byte of rank 0; the last is still ASCII
+STEPS = 1.6  # ranks for each doubling of a count
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
-SHARES = 8  # parts of the classes with a prefix word; each is first held against the earliest of each part
-SOME = 2  # one prefix word in so many, told by its hash, is used for that
+LONG = 64  # words from which the parities of a set take 128 bits, not 64
+HOT, SHARES, PROBES = 64, 4, 4  # steer work only
 BITS = 1 << 21
 
 
@@ -52,37 +53,44 @@ def _words(line: Column) -> Column:
 
 
 def _bucket(hashed: Column) -> Column:
-    return F.pmod(hashed, F.lit(BUCKETS)).cast("int")
+    return hashed.bitwiseAND(BUCKETS - 1).cast("int")
 
 
-def _placed(docs: DataFrame, text: str) -> DataFrame:
+def _texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"),
         F.xxhash64("doc_id", text).alias("_mark"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("_line", "_text"),
+        F.col(text).alias("_text"),
     )
 
 
-def _rarity(lines: DataFrame) -> Column:
-    """Rank of each hash bucket, a byte: in steps of the logarithm of how often its words occur."""
+def _placed(texts: DataFrame) -> DataFrame:
+    return texts.select("_id", "_mark", F.posexplode(F.split("_text", "\n")).alias("_line", "_text"))
+
+
+def _rank(count: Column) -> Column:
+    return F.least(F.floor(F.log2(count) * STEPS), F.lit((1 << RANK_BITS) - 1)).cast("int")
+
+
+def _rarity(texts: DataFrame) -> Column:
+    """Rank of each hash bucket: in steps of the logarithm of how often its words occur."""
+    # Blanks at the ends of a line stay with their word here, which changes no more than a rank.
     counts = (
-        lines.select(F.explode(_words(F.col("_text"))).alias("w"))
+        texts.select(F.explode(F.split(F.replace("_text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
         .groupBy(_bucket(F.xxhash64("w")).alias("bucket"))
         .count()
     )
-    most = (1 << RANK_BITS) - 1
-    rank = F.least(F.floor(F.log2(F.col("count")) * 1.6), F.lit(most)).cast("int")
     # BUCKETS rows whatever the input; strings of 1024 ranks come to the driver.
     runs = (
-        lines.sparkSession.range(BUCKETS)
+        texts.sparkSession.range(BUCKETS)
         .select(F.col("id").cast("int").alias("bucket"))
         .join(counts, "bucket", "left")
         .groupBy(F.shiftright("bucket", 10).alias("run"))
-        .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(rank, F.lit(0)).alias("rank")))).alias("of"))
-        .select("run", F.array_join(F.transform("of", lambda x: F.char(x["rank"] + RANK_0)), "").alias("ranks"))
+        .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(_rank(F.col("count")), F.lit(0)).alias("rank")))).alias("of"))
+        .select("run", F.array_join(F.transform("of", lambda x: x["rank"].cast("string")), ",").alias("ranks"))
         .collect()
     )
-    return F.lit("".join(r["ranks"] for r in sorted(runs)).encode())
+    return _literal(",".join(r["ranks"] for r in sorted(runs)), "tinyint")
 
 
 def _literal(values: str, kind: str) -> Column:
@@ -95,7 +103,7 @@ def _by_rarity(words: Column, ranks: Column) -> Column:
     keep = 63 - RANK_BITS
 
     def number(hashed: Column) -> Column:
-        rank = (F.ascii(F.substring(ranks, _bucket(hashed) + 1, F.lit(1)).cast("string")) - RANK_0).cast("long")
+        rank = F.get(ranks, _bucket(hashed)).cast("long")
         return F.shiftleft(rank, keep).bitwiseOR(F.shiftrightunsigned(hashed, 64 - keep))
 
     hashes = F.transform(words, lambda word: F.xxhash64(word))
@@ -107,22 +115,26 @@ def _needed(size: Column) -> Column:
     return F.floor((size * PART + WHOLE - 1) / WHOLE).cast("int")
 
 
-def _odd(numbers: Column, half: int) -> Column:
-    """Whether an odd number of words falls on each of 64 bits; words fall on either half of 128."""
+def _odd(numbers: Column, upper: bool = False) -> Column:
+    """Whether an odd number of words falls on each of 64 bits; of words on the upper half of 128 bits alone, if ``upper``."""
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
     def bit(word: Column) -> Column:
-        at = F.call_function("shiftleft", one, word.bitwiseAND(63).cast("int"))
-        return F.when(word.bitwiseAND(64) == 64 * half, at).otherwise(none)
+        counts = F.shiftrightunsigned(word, 6).bitwiseAND(one) if upper else one
+        return F.call_function("shiftleft", counts, word.bitwiseAND(63).cast("int"))
 
     return F.aggregate(numbers, none, lambda bits, word: bits.bitwiseXOR(bit(word)))
 
 
-def classes(lines: DataFrame) -> DataFrame:
-    """One row for each word set: its number, first line, size, rarest words and parities."""
+def classes(texts: DataFrame) -> DataFrame:
+    """One row for each word set: its number, first line, lines, size, rarest words and parities.
+
+    ``odd`` is the parities of all words, ``odd2`` of those on the upper half, 0 for a short set.
+    """
     sets = (
-        lines.filter(_not_blank(F.col("_text")))
-        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(lines)))
+        _placed(texts)
+        .filter(_not_blank(F.col("_text")))
+        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(texts)))
         .withColumn("_size", F.size("_sorted"))
     )
     return written(
@@ -131,58 +143,77 @@ def classes(lines: DataFrame) -> DataFrame:
             F.xxhash64(F.lit(1), "_sorted").alias("_b"),
             "_size",
             F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + 1).alias("_rarest"),
-            _odd(F.col("_sorted"), 0).alias("_odd"),
-            _odd(F.col("_sorted"), 1).alias("_odd2"),
+            _odd(F.col("_sorted")).alias("_odd"),
+            F.when(F.col("_size") >= LONG, _odd(F.col("_sorted"), upper=True)).otherwise(F.lit(0).cast("long")).alias("_odd2"),
             F.struct("_id", "_mark", "_line").alias("_first"),
         )
         .groupBy("_a", "_b")
         .agg(
             F.min("_first").alias("first"),
+            F.count(F.lit(1)).alias("lines"),
             F.first("_size").alias("size"),
             F.first("_rarest").alias("rarest"),
             F.first("_odd").alias("odd"),
             F.first("_odd2").alias("odd2"),
         )
-        .select(F.monotonically_increasing_id().alias("number"), "first", "size", "rarest", "odd", "odd2"),
+        .select(F.monotonically_increasing_id().alias("number"), "first", "lines", "size", "rarest", "odd", "odd2"),
         "line-classes",
     )
 
 
-def _prefixes(found: DataFrame) -> DataFrame:
+def _prefixes(found: DataFrame, *more: str | Column) -> DataFrame:
     """The prefix words of each class; ``rest`` is how many of its words stand from there on."""
     # Sets of fewer than PART words match equal sets alone.
     return (
         found.filter(F.col("size") >= PART)
-        .select("number", "open", F.col("first._id").alias("id"), "size", "odd", "odd2", F.posexplode("rarest").alias("rest", "word"))
+        .select("number", "open", F.col("first._id").alias("id"), "size", "odd", "odd2", *more, F.posexplode("rarest").alias("rest", "word"))
         .withColumn("rest", F.col("size") - F.col("rest"))
     )
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Length and positional filter, and parities: a word of only one set changes one bit."""
-    size_a, size_b, rest_a, rest_b, odd_a, odd_b, odd2_a, odd2_b = (
-        F.col(side.format(name)) for name in ("size", "rest", "odd", "odd2") for side in (a, b)
+    """Length filter, and parities: a word of only one set changes one bit.
+
+    Two long sets are compared on both halves of 128 bits; otherwise the halves fall together.
+    """
+    size_a, size_b, odd_a, odd_b, odd2_a, odd2_b = (
+        F.col(side.format(name)) for name in ("size", "odd", "odd2") for side in (a, b)
     )
     together = size_a + size_b
-    differ = F.bit_count(odd_a.bitwiseXOR(odd_b)) + F.bit_count(odd2_a.bitwiseXOR(odd2_b))
+    odd, odd2 = odd_a.bitwiseXOR(odd_b), odd2_a.bitwiseXOR(odd2_b)
+    both_long = F.least(size_a, size_b) >= LONG
+    differ = F.bit_count(odd)
+    halves = F.bit_count(odd.bitwiseXOR(odd2)) + F.bit_count(odd2)
+    most = together * (WHOLE - PART)
     return (
         (F.least(size_a, size_b) * WHOLE >= F.greatest(size_a, size_b) * PART)
-        & (F.least(rest_a, rest_b) * (PART + WHOLE) >= together * PART)
-        & (differ * (PART + WHOLE) <= together * (WHOLE - PART))
+        & (differ * (PART + WHOLE) <= most)
+        & (~both_long | (halves * (PART + WHOLE) <= most))
     )
 
 
 def pivots(found: DataFrame) -> DataFrame:
-    """Candidates of which one is the earliest class, by id, of a part of those with one of some prefix words.
+    """Candidates of which one is the earliest class, by id, or that of most lines, of a part of those with a common prefix word.
 
-    Which words are used steers work only; near copies share most of theirs.
+    Which words and classes are used steers work only; near copies share most of their words. The
+    words used are seldom the first that two classes share, so the positional filter has no place here.
     """
-    prefixes = _prefixes(found.withColumn("open", F.lit(True))).filter(F.pmod("word", F.lit(SOME)) == 0)
-    names = ("number", "size", "rest", "odd", "odd2")
-    earliest = prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share")).agg(
-        *[F.min_by(c, "id").alias(f"_{c}") for c in names], F.min("id").alias("_id")
+    rank = F.shiftrightunsigned("word", 63 - RANK_BITS)
+    prefixes = _prefixes(found.withColumn("open", F.lit(True)), "lines", F.size("rarest").alias("prefix"))
+    prefixes = prefixes.filter(rank >= _rank(F.lit(HOT)))  # a rarer one is in fewer classes
+    names = ("number", "id", "size", "odd", "odd2")
+    earliest = F.struct(*[F.min_by(c, "id").alias(f"_{c}") for c in names])
+    largest = F.struct(*[F.max_by(c, "lines").alias(f"_{c}") for c in names])
+    few = written(
+        prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share"))
+        .agg(F.count(F.lit(1)).alias("classes"), earliest.alias("earliest"), largest.alias("largest"))
+        .filter(F.col("classes") >= HOT // SHARES)
+        .select("word", F.explode(F.array_distinct(F.array("earliest", "largest"))).alias("of"))
+        .select("word", "of.*"),
+        "line-pivots",
     )
-    met = prefixes.join(earliest, "word").filter(
+    probes = prefixes.filter(F.col("size") - F.col("rest") >= F.col("prefix") - PROBES)
+    met = probes.join(few, "word").filter(
         (F.col("_id") <= F.col("id")) & (F.col("number") != F.col("_number")) & _may_match("{}", "_{}")
     )
     return _pairs(met, "number", "_number")
@@ -204,6 +235,7 @@ def candidates(found: DataFrame) -> DataFrame:
         & (F.col("number_a") != F.col("number_b"))
         # Both sides are asked, so that they stay the same and are shuffled once.
         & (F.col("open_b") | (F.col("open_a") & (F.col("id_a") == F.col("id_b"))))
+        & (F.least("rest_a", "rest_b") * (PART + WHOLE) >= (F.col("size_a") + F.col("size_b")) * PART)
         & _may_match("{}_a", "{}_b"),
     )
     return _pairs(met, "number_a", "number_b")
@@ -213,9 +245,9 @@ def _pairs(met: DataFrame, a: str, b: str) -> DataFrame:
     return met.select(F.least(a, b).alias("number_a"), F.greatest(a, b).alias("number_b")).distinct()
 
 
-def _asked_for(places: DataFrame) -> Column:
-    """Whether a place may be among ``places``: a bit for each hash, BITS in all."""
-    bit = F.pmod(F.xxhash64("_id", "_mark", "_line"), F.lit(BITS))
+def _asked_for(places: DataFrame, *key: str) -> Column:
+    """Whether a row's key may be among those of ``places``: a bit for each hash, BITS in all."""
+    bit = F.pmod(F.xxhash64(*key), F.lit(BITS))
     word, mask = F.shiftright(bit, 6), F.expr("shiftleft(1L, cast(_bit & 63 as int))")
     words = (
         places.select(bit.alias("_bit"))
@@ -230,7 +262,7 @@ def _asked_for(places: DataFrame) -> Column:
     return F.getbit(found, F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 
-def _late(lines: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
+def _late(texts: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
     """Numbers of the later class of each of ``pairs`` that match, by their whole word sets."""
     wanted = written(
         pairs.select(F.explode(F.array("number_a", "number_b")).alias("number"))
@@ -240,7 +272,8 @@ def _late(lines: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
         "line-places",
     )
     sets = written(
-        lines.filter(_asked_for(wanted))
+        _placed(texts.filter(_asked_for(wanted, "_id", "_mark")))
+        .filter(_asked_for(wanted, "_id", "_mark", "_line"))
         .join(wanted, ["_id", "_mark", "_line"])
         .groupBy("number", "first")
         .agg(F.first("_text").alias("text"))
@@ -259,27 +292,27 @@ def _late(lines: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(matches.select(later.alias("number")).distinct(), "late-lines")
 
 
-def late_classes(lines: DataFrame, found: DataFrame) -> DataFrame:
+def late_classes(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Numbers of the classes that match one whose first line is earlier.
 
-    One earlier match is enough. Each class is first held against the earliest classes with
-    each of its prefix words, which settles large groups of near copies in few
+    One earlier match is enough. Each class is first held against a few with
+    its commoner prefix words, which settles large groups of near copies in few
     comparisons, and only classes without a match there against all others.
     """
     first = written(pivots(found), "line-pairs")
-    late = _late(lines, found, first)
+    late = _late(texts, found, first)
     matched = late.withColumn("open", F.lit(False))
     marked = found.join(matched, "number", "left").withColumn("open", F.coalesce("open", F.lit(True)))
     rest = candidates(written(marked, "line-classes")).join(first, ["number_a", "number_b"], "left_anti")
-    return late.union(_late(lines, found, written(rest, "line-pairs"))).distinct()
+    return late.union(_late(texts, found, written(rest, "line-pairs"))).distinct()
 
 
 def kept_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """(_id, _mark, _kept): places of the non-blank lines that stay, per document with any."""
-    lines = _placed(docs, text)
+    texts = _texts(docs, text)
     with scratch(docs.sparkSession):
-        found = classes(lines)
-        late = late_classes(lines, found)
+        found = classes(texts)
+        late = late_classes(texts, found)
         kept = (
             found.join(late, "number", "left_anti")
             .select("first.*")

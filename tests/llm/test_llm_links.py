@@ -194,6 +194,54 @@ def test_near_copies_of_a_line_are_not_all_paired(spark, monkeypatch):
     assert sum(pairs) < 40 * len(texts)
 
 
+def test_lines_far_from_their_template_are_not_all_paired(spark, monkeypatch):
+    """Copies that match only the template itself and what is close to it find these first."""
+    random.seed(41)
+    template, texts = [f"t{i}" for i in range(60)], []
+    for _ in range(2000):
+        words = template.copy()
+        for at in random.sample(range(60), random.choice([0, 0, 0, 4, 5, 6, 6])):
+            words[at] = f"x{random.randrange(10**6)}"
+        texts.append(" ".join(words))
+    pairs, whole = [], lines.written
+
+    def written(df, label, keep=False):
+        made = whole(df, label, keep)
+        if label == "line-pairs":
+            pairs.append(made.count())
+        return made
+
+    monkeypatch.setattr(lines, "written", written)
+    found = by_id(lines.line_counts(docs(spark, texts)))
+    assert {i: list(r["kept_lines"]) for i, r in found.items()} == slow_lines(list(enumerate(texts)))
+    first, rest = pairs
+    assert first < 8 * len(texts) and rest < len(texts) // 4
+
+
+@pytest.mark.parametrize("size_b", [60, 63, 64, 70, 120])
+def test_parities_pass_all_that_match(spark, size_b):
+    """Sets around the size from which parities take 128 bits: matches pass, most others don't."""
+    random.seed(size_b)
+    rows = []
+    for at in range(200):
+        size_a = min(size_b, 64) if at % 2 else size_b
+        a, b = (random.sample(range(1 << 40), n) for n in (size_a, size_b))
+        if at < 100:
+            least = -(-4 * (size_a + size_b) // 9)
+            b[:least] = a[:least]
+            if least > size_a:
+                continue
+        rows.append((at < 100, a, b))
+    sides = spark.createDataFrame(rows, "match boolean, a array<long>, b array<long>")
+    for side in "ab":
+        both = F.when(F.size(side) >= lines.LONG, lines._odd(F.col(side), upper=True)).otherwise(F.lit(0).cast("long"))
+        made = {f"size_{side}": F.size(side), f"odd_{side}": lines._odd(F.col(side)), f"odd2_{side}": both}
+        sides = sides.withColumns(made)
+    found = sides.select("match", lines._may_match("{}_a", "{}_b").alias("may")).collect()
+    assert all(r["may"] for r in found if r["match"])
+    assert sum(r["may"] for r in found if not r["match"]) <= 5
+
+
 def test_lines_of_documents(spark):
     given = table(spark, DATA, "documents").orderBy("doc_id").collect()
     found = by_id(QUERIES["op7_lines"](spark, DATA))
