@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -130,10 +130,10 @@ def vocabulary(model_file: str) -> dict:
     }
 
 
-def _packed(codes: np.ndarray) -> np.ndarray:
-    """Rows of codes below 2 ** 16 as one number each."""
-    out = np.zeros(len(codes), np.uint64)
-    for column in codes.T:
+def _packed(columns: Sequence[np.ndarray]) -> np.ndarray:
+    """Rows of codes below 2 ** 16, given by column, as one number each."""
+    out = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
         out = out << np.uint64(16) | column.astype(np.uint64)
     return out
 
@@ -154,7 +154,7 @@ class Encoder:
         self.asked = np.full(MEMORY, -1, np.int64)
         self.answer = np.zeros(MEMORY, bool)
         self.runs: dict[int, list[int]] = {}
-        self.known = Known(self.encoded_words, lambda word: not word.strip(MARK))
+        self.known = Known(self.encoded_words, lambda word: word.endswith(MARK))  # marks alone
 
     # Borders
 
@@ -205,28 +205,26 @@ class Encoder:
 
     # Matching
 
-    def suffixes(self, codes: np.ndarray) -> np.ndarray:
-        """Places in the order of their next ``longest`` characters."""
-        ranks, width = codes, 1
-        while True:
-            n = int(ranks.max()) + 1
-            shifted = np.zeros_like(ranks)
-            shifted[:-width] = ranks[width:]
-            key = ranks * n + shifted
+    def suffixes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the order of their next ``longest`` characters, and the first of these of every place, packed."""
+        width = min(HEAD, self.longest)
+        wide = np.concatenate([codes, np.zeros(width, np.int64)])
+        key = heads = _packed([wide[i : i + len(codes)] for i in range(width)])
+        while width < self.longest:
+            kinds, ranks = np.unique(key, return_inverse=True)
+            key = ranks * len(kinds)
+            key[:-width] += ranks[width:]
             width *= 2
-            if width >= self.longest:
-                return np.argsort(key, kind="stable")
-            ranks = np.unique(key, return_inverse=True)[1]
+        return np.argsort(key), heads
 
-    def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and end place in ``order`` of the occurrences of each piece."""
+    def ranges(self, codes: np.ndarray, order: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end place in ``order`` of the occurrences of each piece; ``heads`` are in that order."""
         ahead = np.arange(self.longest)
         # The first characters, packed in one number, narrow the search.
-        heads = _packed(codes[order[:, None] + ahead[:HEAD]])
         least = self.spelled[:, :HEAD]
         most = np.where(ahead[:HEAD] < self.lengths[:, None], least, (1 << 16) - 1)
-        start = np.searchsorted(heads, _packed(least), "left")
-        end = np.searchsorted(heads, _packed(most), "right")
+        start = np.searchsorted(heads, _packed(least.T), "left")
+        end = np.searchsorted(heads, _packed(most.T), "right")
         found = []
         for upper in (False, True):
             low, high = start.copy(), end.copy()
@@ -273,8 +271,8 @@ class Encoder:
         kinds, back = np.unique(points, return_inverse=True)
         codes = np.array([self.code.get(chr(p), 1) for p in kinds.tolist()], np.int64)[back]
         codes[start + size] = 0
-        order = self.suffixes(codes)
-        first, end = self.ranges(np.concatenate([codes, np.zeros(self.longest, np.int64)]), order)
+        order, heads = self.suffixes(codes)
+        first, end = self.ranges(np.concatenate([codes, np.zeros(self.longest, np.int64)]), order, heads[order])
         # Edges, placed by length and end.
         edges = np.full((self.longest + 1, len(codes) + 1), -1, self.kind)
         number = end - first

@@ -338,6 +338,19 @@ def test_pieces_match_the_library(library, encoder):
     assert encoder([None]) == [None]
 
 
+@pytest.mark.parametrize("longest", [1, 2, 4, 8, 16])
+def test_suffixes_start_with_packed_characters(encoder, monkeypatch, longest):
+    monkeypatch.setattr(encoder, "longest", longest)
+    for n in (1, 3, 300):
+        codes = np.random.default_rng(n).integers(0, 3, n)
+        order, heads = encoder.suffixes(codes)
+        wide = np.concatenate([codes, np.zeros(16, np.int64)])
+        assert sorted(order.tolist()) == list(range(n))
+        ahead = [wide[at : at + longest].tolist() for at in order.tolist()]
+        assert ahead == sorted(ahead)
+        assert (np.diff(heads[order].astype(float)) >= 0).all()
+
+
 def test_pieces_across_blocks(library, monkeypatch):
     monkeypatch.setattr(pieces, "BLOCK", 40)
     rng = random.Random(6)
