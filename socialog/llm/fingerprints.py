@@ -50,40 +50,66 @@ RESULT = (
 )
 
 
-def parts(text: str) -> list[str]:
+class Cuts(dict):
+    """Whether a text is cut after a word; remembers about LATELY words met lately."""
+
+    LATELY = 250_000
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= self.LATELY:
+            self.clear()
+        found = self[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "replace")) % EVERY == 0
+        return found
+
+
+def parts(text: str, cuts: Cuts | None = None) -> list[str]:
     """Words of each part, joined by single spaces."""
+    cut = (Cuts() if cuts is None else cuts).__getitem__
     found = []
     for paragraph in text.split("\n"):
-        start, words = 0, paragraph.split()
-        for at, word in enumerate(words, 1):
-            if at == len(words) or xxhash.xxh32_intdigest(word.encode("utf-8", "replace")) % EVERY == 0:
-                found.append(" ".join(words[start:at]))
-                start = at
+        words = paragraph.split()
+        if not words:
+            continue
+        start = 0
+        for end in [at for at, last in enumerate(map(cut, words), 1) if last]:
+            found.append(" ".join(words[start:end]))
+            start = end
+        if start < len(words):
+            found.append(" ".join(words[start:]))
     return found
 
 
-def digests(text: str) -> np.ndarray:
+def digests(text: str, cuts: Cuts | None = None) -> np.ndarray:
     """Distinct 64-bit digests of the parts, repeats numbered."""
-    seen: Counter = Counter()
+    seen: dict[str, int] = {}
     out = []
-    for part in parts(text):
-        out.append(xxhash.xxh64_intdigest(part.encode("utf-8", "replace"), seed=seen[part]))
-        seen[part] += 1
+    for part in parts(text, cuts):
+        seed = seen.get(part, 0)
+        out.append(xxhash.xxh64_intdigest(part.encode("utf-8", "replace"), seed=seed))
+        seen[part] = seed + 1
     return np.array(out, dtype=np.uint64)
 
 
-def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
-    x = keys ^ np.uint64(seed * 0xD1B54A32D192ED03 & (1 << 64) - 1)
+def _salt(seed: int) -> np.uint64:
+    return np.uint64(seed * 0xD1B54A32D192ED03 & (1 << 64) - 1)
+
+
+def mixed(keys: np.ndarray, salt: np.ndarray | np.uint64) -> np.ndarray:
+    x = keys ^ salt
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+CHECK_SALT, ROW_SALTS = _salt(CHECK_SEED), np.array([[_salt(ROW_SEED + r)] for r in range(ROWS)])
+
+
 def places(keys: np.ndarray, cells: int) -> np.ndarray:
     """Cell of each key in each row, numbered through."""
-    return np.stack(
-        [(mixed(keys, ROW_SEED + r) % np.uint64(cells)).astype(np.int64) + r * cells for r in range(ROWS)]
-    )
+    x = mixed(keys, ROW_SALTS)
+    # a division only where cells are no power of two
+    x = x % np.uint64(cells) if cells & cells - 1 else x & np.uint64(cells - 1)
+    return x.astype(np.int64) + np.arange(0, ROWS * cells, cells)[:, None]
 
 
 class Sketch:
@@ -95,11 +121,11 @@ class Sketch:
         self.keys = np.zeros(ROWS * cells, np.uint64)
         self.checks = np.zeros(ROWS * cells, np.uint64)
         if len(keys):
-            checks = mixed(keys, CHECK_SEED) & CHECKED
-            for at in places(keys, cells):
-                self.count += np.bincount(at, minlength=ROWS * cells)
-                np.bitwise_xor.at(self.keys, at, keys)
-                np.bitwise_xor.at(self.checks, at, checks)
+            checks = mixed(keys, CHECK_SALT) & CHECKED
+            at = places(keys, cells)
+            self.count += np.bincount(at.ravel(), minlength=ROWS * cells)
+            np.bitwise_xor.at(self.keys, at, keys)
+            np.bitwise_xor.at(self.checks, at, checks)
 
     def text(self) -> str:
         """The cells themselves, 14 bytes each, in base64; ``Sketch.read`` takes them back."""
@@ -133,7 +159,7 @@ class Sketch:
             if not now:
                 break
             found = np.fromiter(now, np.uint64, len(now))
-            sums, cells = (mixed(found, CHECK_SEED) & CHECKED).tolist(), places(found, self.cells).T.tolist()
+            sums, cells = (mixed(found, CHECK_SALT) & CHECKED).tolist(), places(found, self.cells).T.tolist()
             pure = []
             for (key, (i, sign)), check, own in zip(now.items(), sums, cells, strict=True):
                 if count[i] != sign or keys[i] != key or checks[i] != check:
@@ -151,9 +177,9 @@ class Sketch:
 class Version:
     """A text with its digests and the sketches built so far."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, cuts: Cuts | None = None):
         self.text = text
-        self.keys = digests(text)
+        self.keys = digests(text) if cuts is None else digests(text, cuts)
         self.sketches: dict[int, Sketch] = {}
 
     def sketch(self, cells: int) -> Sketch:
@@ -183,9 +209,9 @@ def likeness(a: Version, b: Version, differ: int) -> float:
     return 1 - differ / total if total else 1.0
 
 
-def compared(doc_id: int | None, here: Version, after: Version) -> tuple:
+def compared(doc_id: int | None, here: Version, after: Version, cuts: Cuts | None = None) -> tuple:
     n = len(here.text)
-    edited = Version(here.text[: n - n // 4] + after.text[: n // 4])
+    edited = Version(here.text[: n - n // 4] + after.text[: n // 4], cuts)
     text_only, edited_only = differing(here, edited)
     signed = lambda keys: np.array(keys, np.uint64).astype(np.int64)
     return (
@@ -204,13 +230,13 @@ def compared(doc_id: int | None, here: Version, after: Version) -> tuple:
 def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of whole runs, in order; the last row of a run only follows."""
     names = [c.split()[0] for c in RESULT.split(", ")]
-    before = None
+    before, cuts = None, Cuts()
     for rows in batches:
         out = []
         for run, doc_id, text in zip(rows["_run"], rows["doc_id"], rows["text"], strict=True):
-            here = Version(text)
+            here = Version(text, cuts)
             if before is not None and before[0] == run:
-                out.append(compared(before[1], before[2], here))
+                out.append(compared(before[1], before[2], here, cuts))
             before = (run, None if pd.isna(doc_id) else int(doc_id), here)
         frame = pd.DataFrame(out, columns=names)
         frame["doc_id"] = frame["doc_id"].astype("Int64")

@@ -128,6 +128,20 @@ def test_sketches_give_back_what_differs():
     assert small.minus(fingerprints.Sketch(np.array([], np.uint64), 2)) is None
 
 
+def test_a_word_is_hashed_once(monkeypatch):
+    hashed, plain = [], fingerprints.xxhash.xxh32_intdigest
+    monkeypatch.setattr(fingerprints.xxhash, "xxh32_intdigest", lambda word: hashed.append(word) or plain(word))
+    text = "\n".join(["", " a  b c ", "b c d e" * 9, "a b c"])
+    cuts = fingerprints.Cuts()
+    assert fingerprints.parts(text, cuts) == fingerprints.parts(text)
+    hashed.clear()
+    monkeypatch.setattr(fingerprints.Cuts, "LATELY", 4)
+    fingerprints.parts(text, cuts)
+    assert not hashed
+    few = fingerprints.Cuts()
+    assert fingerprints.parts(text, few) == fingerprints.parts(text) and len(few) <= 4
+
+
 def test_equal_digests_of_different_parts_end(monkeypatch):
     held = {"one": [5, 5, 9], "other": [5, 7]}
     monkeypatch.setattr(fingerprints, "digests", lambda text: np.array(held[text], np.uint64))
