@@ -44,7 +44,7 @@ STEPS = 1.6  # ranks for each doubling of a count
 BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
 LONG = 64  # words from which the parities of a set take 128 bits, not 64
-HOT, SHARES, PROBES = 64, 4, 4  # steer work only
+HOT, SHARES, PROBES = 200, 4, 4  # steer work only
 BITS = 1 << 21
 
 
@@ -204,16 +204,18 @@ def pivots(found: DataFrame) -> DataFrame:
     names = ("number", "id", "size", "odd", "odd2")
     earliest = F.struct(*[F.min_by(c, "id").alias(f"_{c}") for c in names])
     largest = F.struct(*[F.max_by(c, "lines").alias(f"_{c}") for c in names])
+    # Words are counted alone first, so that only those of many classes move more than their number.
+    hot = written(prefixes.groupBy("word").count().filter(F.col("count") >= HOT).select("word"), "hot-words")
+    prefixes = prefixes.join(hot, "word", "left_semi")
     few = written(
         prefixes.groupBy("word", F.pmod(F.xxhash64("number"), F.lit(SHARES)).alias("share"))
-        .agg(F.count(F.lit(1)).alias("classes"), earliest.alias("earliest"), largest.alias("largest"))
-        .filter(F.col("classes") >= HOT // SHARES)
+        .agg(earliest.alias("earliest"), largest.alias("largest"))
         .select("word", F.explode(F.array_distinct(F.array("earliest", "largest"))).alias("of"))
         .select("word", "of.*"),
         "line-pivots",
     )
-    probes = prefixes.filter(F.col("size") - F.col("rest") >= F.col("prefix") - PROBES)
-    met = probes.join(few, "word").filter(
+    probes = F.col("size") - F.col("rest") >= F.col("prefix") - PROBES
+    met = prefixes.filter(probes).join(few, "word").filter(
         (F.col("_id") <= F.col("id")) & (F.col("number") != F.col("_number")) & _may_match("{}", "_{}")
     )
     return _pairs(met, "number", "_number")
