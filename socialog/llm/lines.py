@@ -73,29 +73,32 @@ def _rank(count: Column) -> Column:
 
 
 def _rarity(texts: DataFrame) -> Column:
-    """Rank of each hash bucket: in steps of the logarithm of how often its words occur."""
+    """Ranks of all hash buckets, an array: in steps of the logarithm of how often the words of each occur."""
     # Blanks at the ends of a line stay with their word here, which changes no more than a rank.
     counts = (
         texts.select(F.explode(F.split(F.replace("_text", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
         .groupBy(_bucket(F.xxhash64("w")).alias("bucket"))
         .count()
     )
-    # BUCKETS rows whatever the input; strings of 1024 ranks come to the driver.
+    # BUCKETS rows whatever the input, in the end one array.
     runs = (
         texts.sparkSession.range(BUCKETS)
         .select(F.col("id").cast("int").alias("bucket"))
         .join(counts, "bucket", "left")
         .groupBy(F.shiftright("bucket", 10).alias("run"))
         .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(_rank(F.col("count")), F.lit(0)).alias("rank")))).alias("of"))
-        .select("run", F.array_join(F.transform("of", lambda x: x["rank"].cast("string")), ",").alias("ranks"))
-        .collect()
+        .select("run", F.transform("of", lambda x: x["rank"].cast("tinyint")).alias("ranks"))
     )
-    return _literal(",".join(r["ranks"] for r in sorted(runs)), "tinyint")
+    return _one_array(runs, "run", "ranks", "word-ranks")
 
 
-def _literal(values: str, kind: str) -> Column:
-    """An array that is folded into one literal before the query runs."""
-    return F.split(F.lit(values), ",").cast(f"array<{kind}>")
+def _one_array(rows: DataFrame, key: str, values: str, label: str) -> Column:
+    """The arrays ``values`` of all ``rows`` by ``key`` as one, a scalar subquery.
+
+    As a literal, its text would stand in each description of a plan, which the driver keeps.
+    """
+    of = F.sort_array(F.collect_list(F.struct(key, values)))
+    return written(rows.agg(F.flatten(F.transform(of, lambda x: x[values])).alias(values)), label).scalar()
 
 
 def _by_rarity(words: Column, ranks: Column) -> Column:
@@ -134,7 +137,8 @@ def classes(texts: DataFrame) -> DataFrame:
     sets = (
         _placed(texts)
         .filter(_not_blank(F.col("_text")))
-        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), _rarity(texts)))
+        .withColumn("_ranks", _rarity(texts))  # a lambda may not hold a subquery itself
+        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), F.col("_ranks")))
         .withColumn("_size", F.size("_sorted"))
     )
     return written(
@@ -254,13 +258,14 @@ def _asked_for(places: DataFrame, *key: str) -> Column:
     words = (
         places.select(bit.alias("_bit"))
         .groupBy(F.shiftright("_bit", 6).alias("word"))
-        .agg(F.bit_or(mask).alias("bits"))
-        .collect()  # at most BITS / 64 rows
+        .agg(F.bit_or(mask).alias("bits"))  # at most BITS / 64 rows
+    )
+    held = (
+        places.sparkSession.range(BITS // 64)
+        .join(words, F.col("id") == F.col("word"), "left")
+        .select("id", F.array(F.coalesce("bits", F.lit(0).cast("long"))).alias("bits"))
     )
-    held = [0] * (BITS // 64)
-    for at, bits in words:
-        held[at] = bits
-    found = F.get(_literal(",".join(map(str, held)), "bigint"), word.cast("int"))
+    found = F.get(_one_array(held, "id", "bits", "places-asked-for"), word.cast("int"))
     return F.getbit(found, F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 

@@ -269,6 +269,19 @@ def test_lines_of_awkward_tables(spark):
     assert found[0] == (-1, "a b") and [t for _, t in found[1:]].count("c") == 1
 
 
+def test_plans_of_lines_hold_no_ranks(spark, monkeypatch):
+    """The driver keeps the text of each plan that ran: arrays of fixed size don't stand in it."""
+    texts, whole = [], lines.written
+
+    def written(df, label, keep=False):
+        texts.append(len(df._jdf.queryExecution().toString()))
+        return whole(df, label, keep)
+
+    monkeypatch.setattr(lines, "written", written)
+    assert lines.line_counts(table(spark, DATA, "documents")).count()
+    assert len(texts) >= 8 and max(texts) < 100_000
+
+
 def test_lines_use_no_python(spark, settings):
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     plan = final_plan(lines.without_similar_lines(table(spark, DATA, "documents")))
