@@ -48,8 +48,16 @@ HOT, SHARES, PROBES = 200, 4, 4  # steer work only
 BITS = 1 << 21
 
 
+def _trimmed(line: Column) -> Column:
+    """Without blanks at both ends; trimming a right end looks at each character, so it is done only where one is blank."""
+    ends = F.lit(False)
+    for blank in BLANKS:
+        ends = ends | line.endswith(F.lit(blank))
+    return F.ltrim(F.when(ends, F.rtrim(line, F.lit(BLANKS))).otherwise(line), F.lit(BLANKS))
+
+
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.btrim(line, F.lit(BLANKS)), " "), "")
+    return F.array_remove(F.split(_trimmed(line), " "), "")
 
 
 def _bucket(hashed: Column) -> Column:
@@ -101,16 +109,18 @@ def _one_array(rows: DataFrame, key: str, values: str, label: str) -> Column:
     return written(rows.agg(F.flatten(F.transform(of, lambda x: x[values])).alias(values)), label).scalar()
 
 
-def _by_rarity(words: Column, ranks: Column) -> Column:
-    """Distinct words as sorted numbers: rank in the high bits, hash in the low ones."""
+def _by_rarity(line: Column, ranks: Column) -> Column:
+    """Distinct words of a line as sorted numbers: rank in the high bits, hash in the low ones."""
     keep = 63 - RANK_BITS
 
     def number(hashed: Column) -> Column:
-        rank = F.get(ranks, _bucket(hashed)).cast("long")
+        # Never null, so that the numbers are sorted as an array of plain longs.
+        rank = F.coalesce(F.get(ranks, _bucket(hashed)), F.lit(0).cast("tinyint")).cast("long")
         return F.shiftleft(rank, keep).bitwiseOR(F.shiftrightunsigned(hashed, 64 - keep))
 
-    hashes = F.transform(words, lambda word: F.xxhash64(word))
-    return F.sort_array(F.array_distinct(F.transform(hashes, number)))
+    hashes = F.transform(F.split(_trimmed(line), " "), lambda word: F.xxhash64(word))
+    distinct = F.array_except(hashes, F.array(F.xxhash64(F.lit(""))))
+    return F.sort_array(F.transform(distinct, number))
 
 
 def _needed(size: Column) -> Column:
@@ -138,7 +148,7 @@ def classes(texts: DataFrame) -> DataFrame:
         _placed(texts)
         .filter(_not_blank(F.col("_text")))
         .withColumn("_ranks", _rarity(texts))  # a lambda may not hold a subquery itself
-        .withColumn("_sorted", _by_rarity(_words(F.col("_text")), F.col("_ranks")))
+        .withColumn("_sorted", _by_rarity(F.col("_text"), F.col("_ranks")))
         .withColumn("_size", F.size("_sorted"))
     )
     return written(
@@ -309,7 +319,15 @@ def late_classes(texts: DataFrame, found: DataFrame) -> DataFrame:
     first = written(pivots(found), "line-pairs")
     late = _late(texts, found, first)
     matched = late.withColumn("open", F.lit(False))
-    marked = found.join(matched, "number", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    marked = found.join(matched, "number", "left").select(
+        "number",
+        F.struct("first._id").alias("first"),
+        "size",
+        "rarest",
+        "odd",
+        "odd2",
+        F.coalesce("open", F.lit(True)).alias("open"),
+    )
     rest = candidates(written(marked, "line-classes")).join(first, ["number_a", "number_b"], "left_anti")
     return late.union(_late(texts, found, written(rest, "line-pairs"))).distinct()
 
@@ -350,7 +368,7 @@ def line_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _not_blank(line: Column) -> Column:
-    return F.btrim(line, F.lit(BLANKS)) != ""
+    return F.ltrim(line, F.lit(BLANKS)) != ""
 
 
 def without_similar_lines(docs: DataFrame, text: str = "text") -> DataFrame:

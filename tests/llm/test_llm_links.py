@@ -282,6 +282,19 @@ def test_plans_of_lines_hold_no_ranks(spark, monkeypatch):
     assert len(texts) >= 8 and max(texts) < 100_000
 
 
+def test_words_of_a_line_are_plain_numbers(spark):
+    """Distinct words without null among them, so that they are sorted as an array of longs; blanks as before."""
+    given = ["a", " a b  a\t", "\x0b \fb a\r", "a\tb", "b\t a", " \t", "", "\u00a0a "]
+    rows = spark.createDataFrame([(x,) for x in given], "line string")
+    numbers = lines._by_rarity(F.col("line"), F.array(F.lit(1).cast("tinyint")))
+    found = rows.select("line", numbers.alias("numbers"), lines._words(F.col("line")).alias("words"), lines._not_blank(F.col("line")).alias("full"))
+    assert not found.schema["numbers"].dataType.containsNull
+    for r in found.collect():
+        words = [w for w in r["line"].strip(lines.BLANKS).split(" ") if w]
+        assert r["words"] == words and r["full"] == bool(words)
+        assert len(r["numbers"]) == len(set(words)) and r["numbers"] == sorted(r["numbers"])
+
+
 def test_lines_use_no_python(spark, settings):
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     plan = final_plan(lines.without_similar_lines(table(spark, DATA, "documents")))
