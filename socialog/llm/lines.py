@@ -7,7 +7,7 @@ Lines with equal sets are one class, so copies cost one row; equal sets are told
 64-bit hashes of the sorted hashes of their words. The words of a class
 are ordered by rarity (exact counts over all lines in ``BUCKETS`` hash buckets, in
 logarithmic steps, ties by hash). Two classes that match share one of the first
-``n - ceil(4n/5) + 1`` words of each (prefix filter); with sizes within 4/5 of each other
+``n - ceil(4n/5) + 1`` words of the longer and ``n - ceil(8n/9) + 1`` of the shorter (prefix filter); with sizes within 4/5 of each other
 (length filter), enough words from the first shared one on (positional filter) and
 parities of their words over 128 bits that differ in no more bits than the sets may in
 words, they are candidates, whose word sets are then compared, word by word. The join by
@@ -45,6 +45,7 @@ BLANKS = " \t\x0b\f\r"
 PART, WHOLE = 4, 5  # the least similarity as a fraction
 LONG = 64  # words from which the parities of a set take 128 bits, not 64
 HOT, SHARES, PROBES = 200, 4, 4  # steer work only
+FAST_KEYS = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"  # log2 of the keys in the faster map of an aggregate
 BITS = 1 << 21
 
 
@@ -97,7 +98,13 @@ def _rarity(texts: DataFrame) -> Column:
         .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce(_rank(F.col("count")), F.lit(0)).alias("rank")))).alias("of"))
         .select("run", F.transform("of", lambda x: x["rank"].cast("tinyint")).alias("ranks"))
     )
-    return _one_array(runs, "run", "ranks", "word-ranks")
+    conf = texts.sparkSession.conf
+    before = conf.get(FAST_KEYS)
+    conf.set(FAST_KEYS, BUCKETS.bit_length())  # all buckets find room there
+    try:
+        return _one_array(runs, "run", "ranks", "word-ranks")
+    finally:
+        conf.set(FAST_KEYS, before)
 
 
 def _one_array(rows: DataFrame, key: str, values: str, label: str) -> Column:
@@ -109,8 +116,18 @@ def _one_array(rows: DataFrame, key: str, values: str, label: str) -> Column:
     return written(rows.agg(F.flatten(F.transform(of, lambda x: x[values])).alias(values)), label).scalar()
 
 
-def _by_rarity(line: Column, ranks: Column) -> Column:
-    """Distinct words of a line as sorted numbers: rank in the high bits, hash in the low ones."""
+def _hashes(line: Column) -> Column:
+    """Hashes of the distinct words of a line."""
+    hashes = F.transform(F.split(_trimmed(line), " "), lambda word: F.xxhash64(word))
+    return F.array_except(hashes, F.array(F.xxhash64(F.lit(""))))
+
+
+def _by_rarity(line: Column, ranks: Column, hashes: Column | None = None) -> Column:
+    """Distinct words of a line as sorted numbers: rank in the high bits, hash in the low ones.
+
+    ``hashes`` are those of the line where they are a column already: Spark compiles what makes a column,
+    but interprets all that stands inside a function with a lambda.
+    """
     keep = 63 - RANK_BITS
 
     def number(hashed: Column) -> Column:
@@ -118,9 +135,7 @@ def _by_rarity(line: Column, ranks: Column) -> Column:
         rank = F.coalesce(F.get(ranks, _bucket(hashed)), F.lit(0).cast("tinyint")).cast("long")
         return F.shiftleft(rank, keep).bitwiseOR(F.shiftrightunsigned(hashed, 64 - keep))
 
-    hashes = F.transform(F.split(_trimmed(line), " "), lambda word: F.xxhash64(word))
-    distinct = F.array_except(hashes, F.array(F.xxhash64(F.lit(""))))
-    return F.sort_array(F.transform(distinct, number))
+    return F.sort_array(F.transform(_hashes(line) if hashes is None else hashes, number))
 
 
 def _needed(size: Column) -> Column:
@@ -128,6 +143,11 @@ def _needed(size: Column) -> Column:
     return F.floor((size * PART + WHOLE - 1) / WHOLE).cast("int")
 
 
+def _needed_of_longer(size: Column) -> Column:
+    """Least number of words that a set of ``size`` shares with one that matches it and is no smaller."""
+    return F.floor((size * 2 * PART + PART + WHOLE - 1) / (PART + WHOLE)).cast("int")
+
+
 def _odd(numbers: Column, upper: bool = False) -> Column:
     """Whether an odd number of words falls on each of 64 bits; of words on the upper half of 128 bits alone, if ``upper``."""
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -147,41 +167,41 @@ def classes(texts: DataFrame) -> DataFrame:
     sets = (
         _placed(texts)
         .filter(_not_blank(F.col("_text")))
-        .withColumn("_ranks", _rarity(texts))  # a lambda may not hold a subquery itself
-        .withColumn("_sorted", _by_rarity(F.col("_text"), F.col("_ranks")))
-        .withColumn("_size", F.size("_sorted"))
+        .withColumn("_hashes", _hashes(F.col("_text")))
+        # A lambda may not hold a subquery itself. The size stands beside it, so that Spark doesn't put it one
+        # step earlier, with the hashes: there the ranks would become part of each row.
+        .withColumns({"_size": F.size("_hashes"), "_ranks": _rarity(texts)})
+        .withColumn("_sorted", _by_rarity(F.col("_text"), F.col("_ranks"), F.col("_hashes")))
     )
     return written(
         sets.select(
             F.xxhash64("_sorted").alias("_a"),
             F.xxhash64(F.lit(1), "_sorted").alias("_b"),
-            "_size",
-            F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + 1).alias("_rarest"),
-            _odd(F.col("_sorted")).alias("_odd"),
-            F.when(F.col("_size") >= LONG, _odd(F.col("_sorted"), upper=True)).otherwise(F.lit(0).cast("long")).alias("_odd2"),
-            F.struct("_id", "_mark", "_line").alias("_first"),
+            # Lines of a class differ in their place alone, so the least of all columns is the first line with its words.
+            F.struct(
+                F.struct("_id", "_mark", "_line").alias("first"),
+                F.col("_size").alias("size"),
+                F.slice("_sorted", 1, F.col("_size") - _needed(F.col("_size")) + 1).alias("rarest"),
+                _odd(F.col("_sorted")).alias("odd"),
+                F.when(F.col("_size") >= LONG, _odd(F.col("_sorted"), upper=True)).otherwise(F.lit(0).cast("long")).alias("odd2"),
+            ).alias("_of"),
         )
         .groupBy("_a", "_b")
-        .agg(
-            F.min("_first").alias("first"),
-            F.count(F.lit(1)).alias("lines"),
-            F.first("_size").alias("size"),
-            F.first("_rarest").alias("rarest"),
-            F.first("_odd").alias("odd"),
-            F.first("_odd2").alias("odd2"),
-        )
-        .select(F.monotonically_increasing_id().alias("number"), "first", "lines", "size", "rarest", "odd", "odd2"),
+        .agg(F.min("_of").alias("_of"), F.count(F.lit(1)).alias("lines"))
+        .select(F.monotonically_increasing_id().alias("number"), "lines", "_of.*"),
         "line-classes",
     )
 
 
-def _prefixes(found: DataFrame, *more: str | Column) -> DataFrame:
-    """The prefix words of each class; ``rest`` is how many of its words stand from there on."""
+def _prefixes(found: DataFrame, *more: str | Column, shared=_needed) -> DataFrame:
+    """The prefix words of each class, of which a match has ``shared``; ``rest`` is how many of its words stand from there on."""
+    size = F.col("size")
+    prefix = F.slice("rarest", 1, size - shared(size) + 1)
     # Sets of fewer than PART words match equal sets alone.
     return (
-        found.filter(F.col("size") >= PART)
-        .select("number", "open", F.col("first._id").alias("id"), "size", "odd", "odd2", *more, F.posexplode("rarest").alias("rest", "word"))
-        .withColumn("rest", F.col("size") - F.col("rest"))
+        found.filter(size >= PART)
+        .select("number", "size", "odd", "odd2", *more, F.posexplode(prefix).alias("rest", "word"))
+        .withColumn("rest", size - F.col("rest"))
     )
 
 
@@ -213,7 +233,7 @@ def pivots(found: DataFrame) -> DataFrame:
     words used are seldom the first that two classes share, so the positional filter has no place here.
     """
     rank = F.shiftrightunsigned("word", 63 - RANK_BITS)
-    prefixes = _prefixes(found.withColumn("open", F.lit(True)), "lines", F.size("rarest").alias("prefix"))
+    prefixes = _prefixes(found, F.col("first._id").alias("id"), "lines", F.size("rarest").alias("prefix"))
     prefixes = prefixes.filter(rank >= _rank(F.lit(HOT)))  # a rarer one is in fewer classes
     names = ("number", "id", "size", "odd", "odd2")
     earliest = F.struct(*[F.min_by(c, "id").alias(f"_{c}") for c in names])
@@ -235,23 +255,27 @@ def pivots(found: DataFrame) -> DataFrame:
     return _pairs(met, "number", "_number")
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Pairs of a class that is ``open`` and one of no larger id that pass all filters.
+def candidates(found: DataFrame, late: DataFrame) -> DataFrame:
+    """Pairs of classes that pass all filters, of which one at least is not among ``late``.
 
     The filters are part of the join. At the first word they share, two lines that match
-    pass the positional one: no shared word stands before it.
+    pass the positional one: no shared word stands before it. So few words stand before it in
+    the shorter line that a shorter prefix of it will do: ``a`` is the shorter one, of equal ones that of the smaller number.
     """
-    a = b = _prefixes(found)
+    marked = found.join(late.withColumn("late", F.lit(True)), "number", "left")
+    # One column for both, as these rows are what is shuffled most: ``rest``, negated in a late class.
+    rest = F.when(F.col("late"), -F.col("rest")).otherwise(F.col("rest"))
+    a = _prefixes(marked, "late", shared=_needed_of_longer).withColumn("rest", rest).drop("late")
+    b = _prefixes(marked, "late").withColumn("rest", rest).drop("late")
     a = a.select(*[F.col(c).alias(f"{c}_a") for c in a.columns])
     b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
+    shorter = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("number_a") < F.col("number_b")))
     met = a.join(
         b,
         (F.col("word_a") == F.col("word_b"))
-        & (F.col("id_a") <= F.col("id_b"))
-        & (F.col("number_a") != F.col("number_b"))
-        # Both sides are asked, so that they stay the same and are shuffled once.
-        & (F.col("open_b") | (F.col("open_a") & (F.col("id_a") == F.col("id_b"))))
-        & (F.least("rest_a", "rest_b") * (PART + WHOLE) >= (F.col("size_a") + F.col("size_b")) * PART)
+        & shorter
+        & (F.least(F.abs("rest_a"), F.abs("rest_b")) * (PART + WHOLE) >= (F.col("size_a") + F.col("size_b")) * PART)
+        & (F.greatest("rest_a", "rest_b") > 0)
         & _may_match("{}_a", "{}_b"),
     )
     return _pairs(met, "number_a", "number_b")
@@ -284,26 +308,26 @@ def _late(texts: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = written(
         pairs.select(F.explode(F.array("number_a", "number_b")).alias("number"))
         .distinct()
-        .join(found.select("number", "first"), "number")
-        .select("number", "first", "first.*"),
+        .join(found.select("number", "first", "size"), "number")
+        .select("number", "first", "size", "first.*"),
         "line-places",
     )
     sets = written(
         _placed(texts.filter(_asked_for(wanted, "_id", "_mark")))
         .filter(_asked_for(wanted, "_id", "_mark", "_line"))
         .join(wanted, ["_id", "_mark", "_line"])
-        .groupBy("number", "first")
+        .groupBy("number", "first", "size")
         .agg(F.first("_text").alias("text"))
-        .select("number", "first", F.array_distinct(_words(F.col("text"))).alias("words")),
+        .select("number", "first", "size", _words(F.col("text")).alias("words")),
         "line-words",
     )
     a = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
     b = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
-    shared = F.size(F.array_intersect("words_a", "words_b"))
+    shared = F.size(F.array_intersect("words_a", "words_b"))  # distinct words, as sizes count them
     matches = (
         pairs.join(a, "number_a")
         .join(b, "number_b")
-        .filter(shared * (PART + WHOLE) >= (F.size("words_a") + F.size("words_b")) * PART)
+        .filter(shared * (PART + WHOLE) >= (F.col("size_a") + F.col("size_b")) * PART)
     )
     later = F.when(F.col("first_a") < F.col("first_b"), F.col("number_b")).otherwise(F.col("number_a"))
     return written(matches.select(later.alias("number")).distinct(), "late-lines")
@@ -318,17 +342,7 @@ def late_classes(texts: DataFrame, found: DataFrame) -> DataFrame:
     """
     first = written(pivots(found), "line-pairs")
     late = _late(texts, found, first)
-    matched = late.withColumn("open", F.lit(False))
-    marked = found.join(matched, "number", "left").select(
-        "number",
-        F.struct("first._id").alias("first"),
-        "size",
-        "rarest",
-        "odd",
-        "odd2",
-        F.coalesce("open", F.lit(True)).alias("open"),
-    )
-    rest = candidates(written(marked, "line-classes")).join(first, ["number_a", "number_b"], "left_anti")
+    rest = candidates(found, late).join(first, ["number_a", "number_b"], "left_anti")
     return late.union(_late(texts, found, written(rest, "line-pairs"))).distinct()
 
 

@@ -295,6 +295,50 @@ def test_words_of_a_line_are_plain_numbers(spark):
         assert len(r["numbers"]) == len(set(words)) and r["numbers"] == sorted(r["numbers"])
 
 
+def test_shorter_lines_bring_shorter_prefixes(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (45, 4, 3)]
+    found = lines.classes(lines._texts(docs(spark, texts), "text"))
+    long = lines._prefixes(found).groupBy("size").count().collect()
+    short = lines._prefixes(found, shared=lines._needed_of_longer).groupBy("size").count().collect()
+    assert {r["size"]: r["count"] for r in long} == {45: 10, 4: 1}
+    assert {r["size"]: r["count"] for r in short} == {45: 6, 4: 1}
+
+
+def test_lines_at_the_threshold_match_in_any_order(spark):
+    rng, pairs = random.Random(7), []
+    for n in [*range(1, 40), 63, 64, 70, 81, 130]:
+        for most in range(n, n * 5 // 4 + 2):
+            shared = -(-4 * (n + most) // 9) - rng.randrange(2)  # the least that match, or one less
+            if shared <= n:
+                made = [f"{'rare' * (i % 3 == 0)}{len(pairs)}_{i}" if i % 2 else f"common{i}" for i in range(shared)]
+                a = made + [f"a{len(pairs)}_{i}" for i in range(n - shared)]
+                b = made + [f"b{len(pairs)}_{i}" for i in range(most - shared)]
+                two = [" ".join(rng.sample(x, len(x)) + x[:1]) for x in (a, b)]
+                pairs.append(two if rng.random() < 0.5 else two[::-1])
+    texts = ["\n".join(p) if i % 2 else p[0] for i, p in enumerate(pairs)] + [p[1] for i, p in enumerate(pairs) if i % 2 == 0]
+    found = by_id(lines.line_counts(docs(spark, texts)))
+    wanted = slow_lines(list(enumerate(texts)))
+    assert {i: list(r["kept_lines"]) for i, r in found.items()} == wanted
+    assert 0 < sum(r["n_removed"] for r in found.values()) < len(pairs)
+
+
+def test_hashes_of_lines_are_compiled_and_ranks_in_no_row(spark, monkeypatch):
+    plans, whole = [], lines.written
+
+    def written(df, label, keep=False):
+        if label == "line-classes":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, label, keep)
+
+    monkeypatch.setattr(lines, "written", written)
+    before = spark.conf.get(lines.FAST_KEYS)
+    assert lines.classes(lines._texts(docs(spark, ["a b c", "c d"]), "text")).count() == 2
+    assert spark.conf.get(lines.FAST_KEYS) == before
+    steps = [x for x in plans[0].split("\n") if "_hashes" in x or "_sorted" in x]
+    assert any("array_except" in x and "sort_array" not in x for x in steps)
+    assert not any("AS _ranks" in x for x in steps)
+
+
 def test_lines_use_no_python(spark, settings):
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     plan = final_plan(lines.without_similar_lines(table(spark, DATA, "documents")))
